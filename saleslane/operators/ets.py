@@ -12,12 +12,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleslane import config as _config
 from saleslane.config import EtsConfig
 from saleslane.functions.exprs import series_window
+from saleslane.operators import smoothing as _smoothing
 from saleslane.operators.smoothing import (
     Recursion,
     Trailing,
@@ -28,6 +31,10 @@ from saleslane.operators.smoothing import (
     values_of,
 )
 
+# The code that runs inside tasks travels with them, so executors need no installed package.
+for _module in (_config, _smoothing):
+    cloudpickle.register_pickle_by_value(_module)
+
 KEYS = ("category",)
 PARAMS = ("alpha", "beta", "gamma", "phi")
 
@@ -98,7 +105,7 @@ def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, refine: boo
             state = None if bad else recursion.best()
             row = {**dict(zip(keys, key)), "n": n, "last_date": last, "fallback": state is None}
             row |= state or {"level": level}
-            yield pd.DataFrame([row], columns=names)
+            yield pd.DataFrame({c: pd.Series([row.get(c)], dtype=object) for c in names})
 
     def _candidates(row: pd.Series):
         if refine and pd.notna(row["alpha"]):

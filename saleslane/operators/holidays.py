@@ -10,9 +10,12 @@ from saleslane.functions.dates import FIXED_HOLIDAYS, fourth_thursday, holiday_p
 NO_HOLIDAY = -100
 
 
-def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Rows ``(holiday_date, name, list_order)`` for every year of the range."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
+def year_range(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    return spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
+
+
+def holiday_calendar(years: DataFrame) -> DataFrame:
+    """Rows ``(holiday_date, name, list_order)`` for every row of ``years(year)``."""
     fixed = [
         F.struct(
             F.make_date("year", F.lit(month), F.lit(day)).alias("holiday_date"),
@@ -68,7 +71,7 @@ def with_holiday_flag(
     broadcasting it is safe for any panel; the bound is checked all the same.
     """
     flag_rows = 4 * (2 * max(before, after) + 1) * (last_year - first_year + 3)
-    calendar = holiday_calendar(df.sparkSession, first_year - 1, last_year + 1)
+    calendar = holiday_calendar(year_range(df.sparkSession, first_year - 1, last_year + 1))
     if flag_rows > 100_000:
         return holiday_flag(df, calendar, before, after)
     flags = F.broadcast(holiday_flags(calendar, before, after))

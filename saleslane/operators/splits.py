@@ -15,7 +15,11 @@ from saleslane.functions.exprs import series_window, up_to_now, whole
 
 
 def date_ranks(df: DataFrame) -> DataFrame:
-    """Distinct dates with their 0-based ``date_rank`` and the count ``n_dates``."""
+    """Distinct dates with their 0-based ``date_rank`` and the count ``n_dates``.
+
+    Where the rows are the end of a long plan, rank the dates of its source instead: that is
+    one narrow scan, while ranking the rows themselves would run the plan once more.
+    """
     dates = df.select("date").dropna().distinct()
     order = Window.orderBy("date")
     return dates.select(
@@ -59,10 +63,19 @@ def split_table(
 
 
 def date_split(
-    df: DataFrame, train: int | None = 1000, val: int = 30, test: int = 30, anchor: str = "start"
+    df: DataFrame,
+    train: int | None = 1000,
+    val: int = 30,
+    test: int = 30,
+    anchor: str = "start",
+    dates: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``split`` and drop the rows of dates outside every split."""
-    return df.join(F.broadcast(split_table(df, train, val, test, anchor)), "date")
+    """Add ``split`` and drop the rows of dates outside every split.
+
+    ``dates`` is a cheaper frame with the same dates, such as the source of the rows.
+    """
+    table = split_table(df if dates is None else dates, train, val, test, anchor)
+    return df.join(F.broadcast(table), "date")
 
 
 def fold_table(
@@ -88,10 +101,16 @@ def fold_table(
 
 
 def expanding_folds(
-    df: DataFrame, folds: int = 3, min_train: int = 500, val: int = 30, anchor: str = "start"
+    df: DataFrame,
+    folds: int = 3,
+    min_train: int = 500,
+    val: int = 30,
+    anchor: str = "start",
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """The panel in long form, one copy of a row per fold it takes part in."""
-    return df.join(F.broadcast(fold_table(df, folds, min_train, val, anchor)), "date")
+    table = fold_table(df if dates is None else dates, folds, min_train, val, anchor)
+    return df.join(F.broadcast(table), "date")
 
 
 def semi_join_dates(df: DataFrame, dates: DataFrame) -> DataFrame:

@@ -74,7 +74,7 @@ def tune(
 
     jobs = [(t, f) for t in range(len(trials)) for f in folds]
     with ThreadPoolExecutor(tuning.parallelism) as pool:
-        rows = list(pool.map(inheritable_thread_target(score), jobs))
+        rows = list(pool.map(inheritable_thread_target(spark)(score), jobs))
     roles.unpersist()
     return spark.createDataFrame(rows, TRIALS_SCHEMA)
 

@@ -3,28 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder; a cluster session
     without it is an error, because a folder of one machine is not shared.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="saleslane-checkpoint-")
-    context.setCheckpointDir(folder)
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The frame written once to the checkpoint folder and read back from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame written once as a table in the checkpoint folder and read back from there.
+
+    Unlike ``checkpoint()``, which runs an uncached plan twice, this runs it once, and what
+    comes back is a columnar scan that later steps prune and filter.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

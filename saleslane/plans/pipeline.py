@@ -71,8 +71,8 @@ def run_pipeline(
     """Prepare, split, fit, forecast and score.
 
     Lineage is cut where several later steps read the same frame: the split features (read by
-    each smoothing pass), the state table and the history with its residuals (read by every
-    boosting fit and by the forecast).
+    each smoothing pass), the state table, the history with its residuals (read by every part
+    of the forecast) and the model matrix (read by every boosting fit).
     """
     spark, keys, split = sku_day.sparkSession, config.keys, config.split
     panel = prepare_panel(sku_day, exog, config)
@@ -83,6 +83,7 @@ def run_pipeline(
             split.val,
             split.test,
             split.anchor,
+            dates=sku_day.dropna(subset=[*keys]),
         )
     )
     fitted_rows = union_splits(features, ("train", "val"))
@@ -90,11 +91,10 @@ def run_pipeline(
 
     state = durable(ets_fit(fitted_rows, keys, "sales", config.ets))
     history = durable(with_ets_components(fitted_rows, state, keys, "sales", config.ets))
-    matrix = model_matrix(history, keys)
+    matrix = durable(model_matrix(history, keys))
 
     trials, tuned = None, None
     if config.tuning.enabled:
-        matrix = durable(matrix)
         trials = tune(matrix, config.tuning, defaults=config.boost, keys=keys)
         tuned = best_params(trials)
         if params_path:

@@ -16,13 +16,17 @@ from saleslane.functions.exprs import flag
 from saleslane.operators.holidays import with_holiday_flag
 
 
+# Fixed value: prices are taken net of a sales tax of 7.23 percent.
+SALES_TAX = 1.0723
+
+
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
 def sku_day_panel(lines: DataFrame) -> DataFrame:
     tax_points = F.round(F.col("l_tax") * 100).cast("bigint")
-    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount")) / SALES_TAX
     return (
         lines.groupBy(
             F.to_date("l_shipdate").alias("date"),
