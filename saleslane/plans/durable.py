@@ -14,12 +14,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder; a cluster session
     without it is an error, because a folder of one machine is not shared.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="saleslane-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="saleslane-checkpoint-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
