@@ -95,12 +95,17 @@ def weather_quantiles(
     wet: float = 0.9,
 ) -> DataFrame:
     """Exact interpolated quantiles of temperature and precipitation per series."""
+    wanted = quantile_columns(cold, hot, wet)
+    return df.groupBy(*keys).agg(*(x.alias(n) for n, x in wanted.items()))
+
+
+def quantile_columns(cold: float, hot: float, wet: float) -> dict[str, Column]:
     rain = F.col("avg_rainfall") + F.col("avg_snowfall")
-    return df.groupBy(*keys).agg(
-        F.percentile("avg_temperature", cold).alias("temp_cold"),
-        F.percentile("avg_temperature", hot).alias("temp_hot"),
-        F.percentile(rain, wet).alias("precip_heavy"),
-    )
+    return {
+        "temp_cold": F.percentile("avg_temperature", cold),
+        "temp_hot": F.percentile("avg_temperature", hot),
+        "precip_heavy": F.percentile(rain, wet),
+    }
 
 
 def extreme_flags(temperature: Column, precipitation: Column) -> dict[str, Column]:
@@ -132,9 +137,8 @@ def add_weather(
     windowed = {norm: rolling_mean("avg_temperature", norm_window, keys)}
     if reference is None:
         everything = whole(series_window(keys))
-        windowed["temp_cold"] = F.percentile(temp, cold).over(everything)
-        windowed["temp_hot"] = F.percentile(temp, hot).over(everything)
-        windowed["precip_heavy"] = F.percentile(rain, wet).over(everything)
+        wanted = quantile_columns(cold, hot, wet)
+        windowed |= {name: x.over(everything) for name, x in wanted.items()}
         out = df.withColumns(windowed)
     else:
         out = df.withColumns(windowed).join(

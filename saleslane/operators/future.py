@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslane.config import FeatureConfig
+from saleslane.functions.dates import temporal_columns
 from saleslane.functions.exprs import series_window
-from saleslane.operators.features import add_temporal, extreme_flags, weather_quantiles
+from saleslane.operators.features import extreme_flags, quantile_columns, weather_quantiles
 from saleslane.operators.holidays import NO_HOLIDAY, add_holiday_phases
 from saleslane.operators.spine import future_spine
 from saleslane.operators.splits import last_state, tail_per_series
@@ -50,8 +51,13 @@ def future_lags(
     NULL there.  Both are NULL where the history is too short.
     """
     cols = [c for c in ("sales", "promo_intensity") if c in history.columns]
-    spine = future_spine(history, horizon, keys)
-    known = spine.join(recent_values(history, max(*lags, promo_lag), cols, keys), list(keys), "left")
+    recent = recent_values(history, max(*lags, promo_lag), cols, keys)
+    rows = future_spine(history, horizon, keys).join(recent, list(keys), "left")
+    return rows.withColumns(lag_columns(lags, promo_lag, cols)).drop("recent")
+
+
+def lag_columns(lags: Sequence[int], promo_lag: int, cols: Sequence[str]) -> dict[str, Column]:
+    """Lags of a row's ``step`` out of its series' ``recent`` map."""
     step = F.col("step")
 
     def value(place: Column, col: str) -> Column:
@@ -61,7 +67,43 @@ def future_lags(
     if "promo_intensity" in cols:
         place = promo_lag + 1 - step
         out[f"promo_lag_{promo_lag}"] = F.when(place >= 1, value(place, "promo_intensity"))
-    return known.withColumns(out).drop("recent")
+    return out
+
+
+def climate_by_day(history: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Per series a map from the day of the year to its weather sums and counts.
+
+    Two partial aggregations: rows to sums per day of the year, and those, at most 366 per
+    series whatever the history holds, to one map.
+    """
+    sums = {f"s_{c}": F.sum(c) for c in WEATHER} | {f"n_{c}": F.count(c) for c in WEATHER}
+    by_day = history.groupBy(*keys, F.dayofyear("date").alias("doy")).agg(
+        *(x.alias(n) for n, x in sums.items())
+    )
+    entry = F.struct("doy", F.struct(*sums))
+    return by_day.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("climate"),
+        F.try_divide(F.sum("s_avg_temperature"), F.sum("n_avg_temperature")).alias("mean_temp"),
+    )
+
+
+def _near_weather(reach: int, wrap: bool) -> dict[str, Column]:
+    """Weather columns from the ``climate`` map around the row's day of the year."""
+    doy = F.dayofyear("date")
+
+    def sums_of(d: Column) -> Column:
+        return F.try_element_at("climate", F.pmod(d - 1, F.lit(366)) + 1 if wrap else d)
+
+    days = F.sequence(doy - reach, doy + reach)
+    near = F.filter(F.transform(days, sums_of), lambda x: x.isNotNull())
+    otherwise = dict.fromkeys(WEATHER, F.lit(0.0)) | {"avg_temperature": F.col("mean_temp")}
+
+    def pooled(c: str) -> Column:
+        added = F.aggregate(near, F.lit(0.0), lambda t, x: t + F.coalesce(x[f"s_{c}"], F.lit(0.0)))
+        counted = F.aggregate(near, F.lit(0).cast("bigint"), lambda t, x: t + x[f"n_{c}"])
+        return F.when(F.size(near) > 0, F.try_divide(added, counted)).otherwise(otherwise[c])
+
+    return {c: pooled(c) for c in WEATHER}
 
 
 def climatology(
@@ -73,40 +115,13 @@ def climatology(
 ) -> DataFrame:
     """Mean weather of the history's days within ``reach`` days of the year, per future row.
 
-    The history is first reduced to sums per day of the year, at most 366 rows per series; a
-    future row then looks up its ``2 * reach + 1`` neighbouring days by an equi-join.  Without
-    a neighbour the temperature is the history's mean and the rest is 0.  Windows stop at the
-    year's ends unless ``wrap`` is set.
+    Each future row looks its neighbouring days up in the map of its series, so there is one
+    join on the series and no comparison of rows with rows.  Without a neighbour the
+    temperature is the history's mean and the rest is 0.  Windows stop at the year's ends
+    unless ``wrap`` is set.
     """
-    keys = list(keys)
-    sums = [F.sum(c).alias(f"_s_{c}") for c in WEATHER] + [F.count(c).alias(f"_n_{c}") for c in WEATHER]
-    by_day = history.groupBy(*keys, F.dayofyear("date").alias("_doy")).agg(
-        *sums, F.count(F.lit(1)).alias("_rows")
-    )
-    near = F.dayofyear("date") + F.col("_offset")
-    if wrap:
-        near = F.pmod(near - 1, F.lit(366)) + 1
-    neighbours = future.select(
-        *keys, "step", "date", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("_offset")
-    ).withColumn("_doy", near)
-    pooled = (
-        neighbours.join(by_day, [*keys, "_doy"], "left")
-        .groupBy(*keys, "step", "date")
-        .agg(
-            *(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(c) for c in WEATHER),
-            F.sum("_rows").alias("_rows"),
-        )
-    )
-    means = by_day.groupBy(*keys).agg(
-        F.try_divide(F.sum("_s_avg_temperature"), F.sum("_n_avg_temperature")).alias("_mean_temp")
-    )
-    fallback = {"avg_temperature": F.col("_mean_temp"), "avg_rainfall": F.lit(0.0), "avg_snowfall": F.lit(0.0)}
-    found = F.col("_rows").isNotNull()
-    return (
-        pooled.join(means, keys, "left")
-        .withColumns({c: F.when(found, F.col(c)).otherwise(fallback[c]) for c in WEATHER})
-        .select(*keys, "step", "date", *WEATHER)
-    )
+    rows = future.join(climate_by_day(history, keys), list(keys), "left")
+    return rows.withColumns(_near_weather(reach, wrap)).drop("climate", "mean_temp")
 
 
 def _planned(
@@ -149,21 +164,32 @@ def future_weather(
     partial windows; the extreme flags compare with the history's quantiles.
     """
     rows = climatology(history, future, keys, wrap=wrap)
-    if forecast is not None:
-        planned = _planned(rows, forecast, WEATHER, keys)
-        rows = planned.withColumns(
-            {c: F.when(F.col("_has_plan"), F.col(f"_plan_{c}")).otherwise(F.col(c)) for c in WEATHER}
-        ).drop("_has_plan", *(f"_plan_{c}" for c in WEATHER))
-    n = config.temp_norm_window
-    norm = f"temp_rolling_avg_{n}"
-    temp, rain = F.col("avg_temperature"), F.col("avg_rainfall") + F.col("avg_snowfall")
     quantiles = weather_quantiles(
         history, keys, config.cold_quantile, config.hot_quantile, config.wet_quantile
     )
+    rows = _forecast_weather(rows, forecast, keys).join(quantiles, list(keys), "left")
+    return _derived_weather(rows, keys, config)
+
+
+def _forecast_weather(
+    rows: DataFrame, forecast: DataFrame | None, keys: Sequence[str]
+) -> DataFrame:
+    if forecast is None:
+        return rows
+    planned = _planned(rows, forecast, WEATHER, keys)
+    return planned.withColumns(
+        {c: F.when(F.col("_has_plan"), F.col(f"_plan_{c}")).otherwise(F.col(c)) for c in WEATHER}
+    ).drop("_has_plan", *(f"_plan_{c}" for c in WEATHER))
+
+
+def _derived_weather(rows: DataFrame, keys: Sequence[str], config: FeatureConfig) -> DataFrame:
+    """Norm, deviation, precipitation and extremes of rows that carry their quantiles."""
+    n = config.temp_norm_window
+    norm = f"temp_rolling_avg_{n}"
+    temp, rain = F.col("avg_temperature"), F.col("avg_rainfall") + F.col("avg_snowfall")
     frame = series_window(keys).rowsBetween(1 - n, 0)
     return (
         rows.withColumn(norm, F.avg(temp).over(frame))
-        .join(quantiles, list(keys), "left")
         .withColumns(
             {
                 "temp_deviation": temp - F.col(norm),
@@ -186,25 +212,45 @@ def future_frame(
 ) -> DataFrame:
     """All feature columns for steps ``1..horizon`` of every series.
 
-    Every part is one row per series or per future day, so the joins between them are small
-    next to the two passes over the history that produce them.
+    Three aggregations reduce the history to one row per series each: its last state with the
+    quantiles, its recent values, and its climate.  They are joined on the series before the
+    steps are spread out, and everything after that is a projection.
     """
-    step = F.col("step")
+    keys, step = list(keys), F.col("step")
     rolling = [f"rolling_mean_{n}" for n in config.rolling_windows]
     frozen = [*rolling, "days_since_promo", "num_skus", "ets_level", "final_sku_price"]
     kept = [c for c in frozen if c in history.columns]
-    lags = future_lags(history, horizon, config.lags, config.promo_lag, keys)
-    rows = lags.join(last_state(history, kept, keys), list(keys)).withColumns(
-        {c: F.col(f"last_{c}") for c in kept}
+    has_weather = set(WEATHER) <= set(history.columns)
+
+    extra = (
+        quantile_columns(config.cold_quantile, config.hot_quantile, config.wet_quantile)
+        if has_weather
+        else {}
+    )
+    cols = [c for c in ("sales", "promo_intensity") if c in history.columns]
+    depth = max(*config.lags, config.promo_lag)
+    rows = last_state(history, kept, keys, extra)
+    rows = rows.join(recent_values(history, depth, cols, keys), keys, "left")
+    if has_weather:
+        rows = rows.join(climate_by_day(history, keys), keys, "left")
+    rows = rows.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    rows = rows.withColumns(
+        {
+            "date": F.date_add("last_date", step),
+            **lag_columns(config.lags, config.promo_lag, cols),
+            **{c: F.col(f"last_{c}") for c in kept},
+        }
     )
     if "days_since_promo" in kept:
         rows = rows.withColumn("days_since_promo", F.col("days_since_promo") + step)
     if "num_skus" not in kept:
         rows = rows.withColumn("num_skus", F.lit(ASSUMED_NUM_SKUS))
-    rows = rows.drop("n_rows", "last_date", *(f"last_{c}" for c in kept))
+    rows = rows.drop("n_rows", "last_date", "recent", *(f"last_{c}" for c in kept))
 
-    rows = add_temporal(future_promo_plan(rows, promo_plan, keys)).withColumns(
+    rows = future_promo_plan(rows, promo_plan, keys)
+    rows = rows.withColumns(
         {
+            **temporal_columns(F.col("date")),
             "pct_skus_on_high_impact_promo": F.lit(0.0),
             "high_impact_promo": F.lit(0.0),
             "instock_rate": F.lit(ASSUMED_INSTOCK),
@@ -212,9 +258,7 @@ def future_frame(
         }
     )
     rows = add_holiday_phases(rows, config.holiday_pre, config.holiday_post)
-    if set(WEATHER) <= set(history.columns):
-        outlook = future_weather(
-            history, future_spine(history, horizon, keys), weather, keys, config, wrap
-        )
-        rows = rows.join(outlook.drop("date"), [*keys, "step"], "left")
+    if has_weather:
+        rows = rows.withColumns(_near_weather(7, wrap)).drop("climate", "mean_temp")
+        rows = _derived_weather(_forecast_weather(rows, weather, keys), keys, config)
     return rows

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,9 +121,8 @@ def fit_residual_model(
     """Fit one model over all series on the rows that are not ``validation``.
 
     With ``config.patience`` all rounds are grown, the best one under that patience is read
-    off the validation errors, and the model is grown again to that round; the seed makes the
-    second model a prefix of the first.  Without it, boosting stops as soon as a round gains
-    less than ``config.early_stop_tol``.
+    off the validation errors, and the trees after it are dropped.  Without it, boosting
+    stops as soon as a round gains less than ``config.early_stop_tol``.
 
     The series is a nominal feature while it fits the bins, which also bounds the label list
     that the indexer keeps on the driver.  Beyond that it becomes the mean training residual
@@ -136,24 +135,30 @@ def fit_residual_model(
     rows = rows.withColumn("_held_out", held_out)
     numeric = [c for c in feature_columns(matrix) if c not in keys]
 
-    few = rows.select(*keys).distinct().limit(config.max_bins).count() < config.max_bins
+    label = series_label(keys)
+    labels = [r[0] for r in rows.select(label).distinct().limit(config.max_bins).collect()]
+    few = len(labels) < config.max_bins
     encoding = None if few else _mean_residual(rows, keys)
-    stages = (
-        [StringIndexer(inputCol="_series", outputCol="_series_code", handleInvalid="keep")]
-        if few
-        else []
-    )
-    stages.append(VectorAssembler(inputCols=["_series_code", *numeric], outputCol="_features"))
+    assembler = VectorAssembler(inputCols=["_series_code", *numeric], outputCol="_features")
+    steps = [assembler]
+    if few:
+        steps.insert(0, _series_indexer(sorted(labels)))
 
     coded = _with_series_code(rows, keys, encoding)
-    prepared = Pipeline(stages=stages).fit(coded)
-    data = prepared.transform(coded).select("_features", TARGET, "_held_out").persist()
+    data = PipelineModel(steps).transform(coded).select("_features", TARGET, "_held_out").persist()
     try:
         booster = _boost(data, config, validation is not None)
     finally:
         data.unpersist()
     return ResidualModel(
-        PipelineModel(prepared.stages + [booster]), keys, tuple(["_series_code", *numeric]), encoding
+        PipelineModel([*steps, booster]), keys, tuple(["_series_code", *numeric]), encoding
+    )
+
+
+def _series_indexer(labels: list[str]) -> StringIndexerModel:
+    """Codes for the known labels and one more for any other."""
+    return StringIndexerModel.from_labels(
+        labels, inputCol="_series", outputCol="_series_code", handleInvalid="keep"
     )
 
 
@@ -186,7 +191,24 @@ def _boost(data: DataFrame, config: BoostConfig, has_validation: bool):
     full = gbt.fit(train)
     errors = full.evaluateEachIteration(data.where("_held_out"), "squared")
     best = best_round(errors, config.patience)
-    return full if best == len(errors) else gbt.setMaxIter(best).fit(train)
+    return full if best == len(errors) else _first_rounds(full, best)
+
+
+def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of its first trees only, which is what a fit of fewer rounds gives.
+
+    The constructor is only offered on the JVM side; a second fit would cost as much as the
+    first.
+    """
+    context = SparkSession.active().sparkContext
+    regression = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for i in range(rounds):
+        trees[i] = model.trees[i]._java_obj
+        weights[i] = model.treeWeights[i]
+    cut = regression.GBTRegressionModel(model.uid, trees, weights, model.numFeatures)
+    return GBTRegressionModel(cut).setFeaturesCol(model.getFeaturesCol())
 
 
 def best_round(errors: Sequence[float], patience: int) -> int:

@@ -154,18 +154,30 @@ def tail_per_series(df: DataFrame, n: int, keys: Sequence[str] = ("category",))
 
 
 def last_state(
-    df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("category",)
+    df: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str] = ("category",),
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Each series' last date and its values there, with the number of rows."""
+    """Each series' last date and its values there, with the number of rows.
+
+    ``extra`` aggregates are taken in the same pass.
+    """
+    extra = extra or {}
     present = [c for c in cols if c in df.columns]
     newest = F.max_by(F.struct("date", *present), "date")
     return (
         df.groupBy(*keys)
-        .agg(newest.alias("_s"), F.count(F.lit(1)).alias("n_rows"))
+        .agg(
+            newest.alias("_s"),
+            F.count(F.lit(1)).alias("n_rows"),
+            *(x.alias(n) for n, x in extra.items()),
+        )
         .select(
             *keys,
             "n_rows",
             F.col("_s.date").alias("last_date"),
             *(F.col(f"_s.{c}").alias(f"last_{c}") for c in present),
+            *extra,
         )
     )

@@ -370,7 +370,7 @@ def future_lags(spark, sf):
 
 
 def future_promo_plan(spark, sf):
-    return future.future_promo_plan(future_spine(spark, sf), promo_plan(spark, sf))
+    return future.future_promo_plan(future_spine(spark, sf), durable(promo_plan(spark, sf)))
 
 
 def climatology(spark, sf):

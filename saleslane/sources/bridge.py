@@ -25,22 +25,28 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sku_day_panel(lines: DataFrame) -> DataFrame:
-    tax_points = F.round(F.col("l_tax") * 100).cast("bigint")
+    tax_points = F.rint(F.col("l_tax") * 100).cast("bigint")
     revenue = F.col("l_extendedprice") * (1 - F.col("l_discount")) / SALES_TAX
+    # The key is built after grouping by its parts, once per group instead of once per line.
+    sku_id = F.concat_ws("_", "category", F.col("l_linenumber").cast("string"))
     return (
         lines.groupBy(
             F.to_date("l_shipdate").alias("date"),
-            F.concat_ws("_", "l_returnflag", F.col("l_linenumber").cast("string")).alias("sku_id"),
             F.col("l_returnflag").alias("category"),
+            "l_linenumber",
         )
         .agg(
             F.sum("l_quantity").alias("sales"),
-            (F.lit(100.0) - 6.0 * F.sum(tax_points).cast("double") / F.count(F.lit(1))).alias(
+            (100.0 - 6.0 * F.sum(tax_points).cast("double") / F.count(F.lit(1))).alias(
                 "instock_rate"
             ),
             F.max(flag(F.col("l_discount") >= 0.095)).alias("high_impact_promo"),
             F.try_divide(F.sum(revenue), F.sum("l_quantity")).alias("final_sku_price"),
         )
+        .select(
+            "date", sku_id.alias("sku_id"), "category", "sales", "instock_rate",
+            "high_impact_promo", "final_sku_price",
+        )
     )
 
 

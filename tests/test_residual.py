@@ -54,6 +54,18 @@ def test_more_series_than_bins_are_encoded_by_a_join(spark, matrix, tmp_path):
     assert again.predict(many).count() == many.count()
 
 
+def test_dropping_trees_equals_a_shorter_fit(matrix):
+    longer = residual.fit_residual_model(matrix, SMALL)
+    shorter = residual.fit_residual_model(matrix, BoostConfig(**{**SMALL.__dict__, "rounds": 2}))
+    cut = residual._first_rounds(longer.pipeline.stages[-1], 2)
+    data = longer.pipeline.stages[1].transform(
+        longer.pipeline.stages[0].transform(residual._with_series_code(matrix, ("category",), None))
+    )
+    a = [r[0] for r in cut.transform(data).select("prediction").collect()]
+    b = [r[0] for r in shorter.pipeline.stages[-1].transform(data).select("prediction").collect()]
+    assert a == b and cut.getNumTrees == 2
+
+
 def test_patience():
     assert residual.best_round([5, 4, 3, 3.5, 3.4, 1], 2) == 3
     assert residual.best_round([5, 4, 3, 3.5, 3.4, 1], 9) == 6
