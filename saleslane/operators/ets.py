@@ -8,6 +8,7 @@ parameter candidates advance together as one array.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -37,6 +38,7 @@ for _module in (_config, _smoothing):
 
 KEYS = ("category",)
 PARAMS = ("alpha", "beta", "gamma", "phi")
+STATES_PER_BATCH = 1000
 
 _DOUBLE = T.DoubleType()
 _STATE = (
@@ -88,6 +90,13 @@ def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, refine: boo
     names = [f.name for f in schema]
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states = _states(batches)
+        while block := list(itertools.islice(states, STATES_PER_BATCH)):
+            yield pd.DataFrame(
+                {c: pd.Series([s.get(c) for s in block], dtype=object) for c in names}
+            )
+
+    def _states(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for key, runs in series_runs(batches, keys):
             recursion, bad, n, last = None, False, 0, None
             trailing, level = Trailing(spec.period), None
@@ -95,7 +104,7 @@ def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, refine: boo
                 if recursion is None:
                     recursion = Recursion(spec, *_candidates(run.iloc[0]))
                 values = values_of(run)
-                bad = bad or any(unusable(spec, v) for v in values)
+                bad = bad or unusable(spec, values)
                 if not bad:
                     with np.errstate(all="ignore"):
                         recursion.feed(values)
@@ -104,8 +113,7 @@ def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, refine: boo
                 n, last = n + len(values), run["date"].iloc[-1]
             state = None if bad else recursion.best()
             row = {**dict(zip(keys, key)), "n": n, "last_date": last, "fallback": state is None}
-            row |= state or {"level": level}
-            yield pd.DataFrame({c: pd.Series([row.get(c)], dtype=object) for c in names})
+            yield row | (state or {"level": level})
 
     def _candidates(row: pd.Series):
         if refine and pd.notna(row["alpha"]):

@@ -8,7 +8,6 @@ with one entry per candidate that then all advance together.
 from __future__ import annotations
 
 import itertools
-import math
 from collections import deque
 from collections.abc import Iterator, Sequence
 
@@ -46,11 +45,11 @@ def _product(spec: EtsConfig, axes):
     return tuple(np.array(column) for column in zip(*itertools.product(*axes)))
 
 
-def unusable(spec: EtsConfig, y: float | None) -> bool:
-    """A missing value, or one that a multiplicative part cannot take."""
-    if y is None or not math.isfinite(y):
-        return True
-    return y <= 0 and "mul" in (spec.trend, spec.seasonal)
+def unusable(spec: EtsConfig, values: list[float]) -> bool:
+    """Whether a value is missing, or one that a multiplicative part cannot take."""
+    y = np.array(values, dtype=float)
+    refused = y <= 0 if "mul" in (spec.trend, spec.seasonal) else False
+    return bool((~np.isfinite(y) | refused).any())
 
 
 class Recursion:

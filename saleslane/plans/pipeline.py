@@ -34,6 +34,7 @@ from saleslane.sources.panels import load_params, save_params, write_panel
 class Run:
     """Everything a run produced; the frames are lazy but for the checkpointed ones."""
 
+    sku_day: DataFrame
     panel: DataFrame
     validation: DataFrame
     features: DataFrame
@@ -110,6 +111,7 @@ def run_pipeline(
     evaluated = eval_join(test, forecast, keys)
     metrics = forecast_metrics(evaluated, keys=keys, m=config.ets.period)
     return Run(
+        sku_day=sku_day,
         panel=panel,
         validation=validate_panel(panel, keys),
         features=features,
@@ -128,6 +130,7 @@ def run_pipeline(
 def save_run(run: Run, path: str, fmt: str = "parquet") -> None:
     """Write the tables, the smoothing state and the residual model of a run."""
     tables = {
+        "sku_day": run.sku_day,
         "category_day": run.panel,
         "features": run.features,
         "forecast": run.forecast,
