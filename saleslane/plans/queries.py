@@ -111,8 +111,12 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def backtest(spark: SparkSession, sf: str) -> DataFrame:
+    return seasonal_naive(panel(spark, sf))
+
+
+def seasonal_naive(rows: DataFrame) -> DataFrame:
     """Sales with the values of one and two weeks before as final and base forecasts."""
-    lagged = features.add_lags(panel(spark, sf), (7, 14), promo_lag=None)
+    lagged = features.add_lags(rows, (7, 14), promo_lag=None)
     return lagged.where("lag_14 is not null").select(
         "category", "date", "sales",
         F.col("lag_14").alias("ets_forecast"),
@@ -134,7 +138,7 @@ def training_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 def fixed_forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """The labelled panel and a smoothing forecast of its test days."""
-    rows = labelled(spark, sf)
+    rows = durable(labelled(spark, sf).select("category", "date", "sales", "split"))
     history = splits.union_splits(rows, ("train", "val"))
     return rows, ets.ets_forecast(ets.ets_fit(history, spec=FIXED), HORIZON, spec=FIXED)
 
@@ -327,7 +331,8 @@ def moving_average_fit(spark, sf):
 def ets_fallback(spark, sf):
     """Weekly changes are partly negative or missing, which multiplicative seasons refuse."""
     rows = features.add_lags(panel(spark, sf), (7,), promo_lag=None)
-    rows = rows.select("category", "date", (F.col("sales") - F.col("lag_7")).alias("change"))
+    change = (F.col("sales") - F.col("lag_7")).alias("change")
+    rows = durable(rows.select("category", "date", change))
     state = ets.ets_fit(rows, y="change", spec=FIXED)
     return ets.ets_components(rows, state, y="change", spec=FIXED)
 
@@ -345,7 +350,7 @@ def ets_search(spark, sf):
 
 
 def ets_components(spark, sf):
-    rows = panel(spark, sf)
+    rows = durable(panel(spark, sf).select("category", "date", "sales"))
     return ets.ets_components(rows, ets.ets_fit(rows, spec=FIXED), spec=FIXED)
 
 
@@ -489,7 +494,7 @@ def residual_summary(spark, sf):
 
 
 def residual_histogram(spark, sf):
-    return reports.residual_histogram(residual_frame(spark, sf))
+    return reports.residual_histogram(durable(residual_frame(spark, sf)))
 
 
 def metrics_long(spark, sf):
@@ -497,9 +502,9 @@ def metrics_long(spark, sf):
 
 
 def run_summary(spark, sf):
-    return reports.run_summary(
-        sku_day(spark, sf), panel(spark, sf), metrics_by_category(spark, sf)
-    )
+    rows = durable(panel(spark, sf).select("category", "date", "sales"))
+    scored = durable(metrics.forecast_metrics(seasonal_naive(rows)))
+    return reports.run_summary(sku_day(spark, sf), rows, scored)
 
 
 _REGISTERED: dict[str, Query] = {
