@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslane.llm import decontaminate, mixing, quality, simhash, substring_dedup, token_codes, toxicity, url_rules
+from saleslane.llm import (
+    decontaminate,
+    license_scan,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    token_codes,
+    toxicity,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,11 +46,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("did", "th")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.rule_labels(docs))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.find(docs, license_scan.train(spark, docs))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -69,7 +90,9 @@ def queries() -> dict[str, Query]:
         for f in (
             op1_substring_dedup,
             op2_decontaminate,
+            op3_secret_scan,
             op4_quality,
+            op5_license_scan,
             op6_simhash,
             op7_token_codes,
             op8_url_rules,
