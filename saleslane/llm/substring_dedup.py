@@ -5,18 +5,17 @@ same text or another.  Every judgement is made on the input.
 
 The suffixes to sort are sampled and the others induced from them, as induced sorting does:
 
-1. Sampled suffixes start at local minima: of every ``length``-byte string the leftmost smallest
-   8-byte gram among its first ``reach`` positions.  Equal strings sample the same place, so a
-   repeat always shares a sampled suffix.  Their names are hashes of the bytes that every such
-   string must hold to the right of the sample.  A name that occurs once cannot be in a repeat;
-   that drops most suffixes after one partial aggregation.
-2. The tuples that stay carry their whole surroundings as a second name.  Equal surroundings repeat
-   as a whole, are counted before they are shuffled and go on as one tuple, so a text copied a
-   million times is one tuple.
-3. Start positions to the left of a sample are induced from what differs: for 16 ranges of offsets
-   the bytes common to the range (core) and those that span it (hull) are compared; a range is
-   settled if its core is unique or its hulls are all the same, otherwise the recursion goes into
-   its single offsets.
+1. Sampled suffixes start at local minima: every ``length``-byte string is owned by the leftmost
+   smallest 8-byte gram among its first ``reach`` positions.  Equal strings are owned at the same
+   offset.  A sample's name is a hash of the bytes that all strings it could own share.  A name that
+   occurs once cannot be in a repeat; that drops most suffixes after one partial aggregation.
+2. The tuples that stay carry the extent of the strings they own as a second name.  Equal extents
+   repeat as a whole, are counted before they are shuffled and go on as one tuple, so a text copied
+   a million times is one tuple.
+3. The other start positions are induced from ranges of offsets.  Tuples that share the bytes common
+   to a range (its core) are compared by the bytes to its left and right (its edges).  Equal edges
+   settle the range and go on as one tuple; a range whose core is alone is settled too.  Only what
+   differs recurses into ranges a quarter as wide, and carries no more than the edges left.
 
 All orderings are shuffles and sorts of Spark, which spill to disk, and every step aggregates
 before it shuffles; no step needs the members of a group in one task.  Names are compared as pairs
@@ -30,12 +29,15 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,22 +45,34 @@ from saleslane.llm.blocks import Block, RangeHash, blocks, mix, texts_of
 from saleslane.plans.durable import durable
 
 GRAM = 8
-#: Offsets are examined in this many ranges before single ones.
-RANGES = 16
+#: Widths of the ranges of offsets, the widest that fits first.
+WIDTHS = (64, 16, 4, 1)
 #: A longer text is searched in slices of this size, which overlap.
 SLICE_BYTES = 1 << 20
 _MISSING = -(1 << 63)
 
 
 def reach_of(length: int) -> int:
-    """Positions in which a string's sample may lie: a multiple of ``RANGES``."""
+    """Positions in which a string's owner may lie."""
     if length < 32:
         raise ValueError("length must be 32 or more")
-    return max(RANGES, min(length - GRAM, length * 16 // 25) // RANGES * RANGES)
+    return min(length - GRAM, length * 16 // 25)
 
 
-def _samples(block: Block, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled positions of a block and their documents."""
+def _stored(df: DataFrame) -> DataFrame:
+    """``durable``, after which shuffle files of finished steps may go.
+
+    Spark removes them when the driver collects its garbage; the call is a hint to do so now, as
+    each step here moves about as much as the input.
+    """
+    out = durable(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def _owners(block: Block, length: int) -> tuple[np.ndarray, ...]:
+    """Sampled positions, their documents, and the first and last start of the strings they own."""
     reach, data = reach_of(length), block.data
     padded = np.concatenate([data, np.zeros(GRAM, dtype=np.uint8)])
     gram = np.ndarray(len(data), dtype="<u8", buffer=padded, strides=(1,))
@@ -71,15 +85,14 @@ def _samples(block: Block, length: int) -> tuple[np.ndarray, np.ndarray]:
     if width < reach:
         low = np.minimum(low[: width - reach], low[reach - width :])
     found = (low & place).astype(np.int64)
-    at, doc = [], []
+    parts = [[np.empty(0, dtype=np.int64)] * 4]
     for d in np.flatnonzero(block.ends - block.starts >= length):
-        own = found[block.starts[d] : block.ends[d] - length + 1]
-        own = own[np.flatnonzero(np.diff(own, prepend=-1))]
-        at.append(own)
-        doc.append(np.full(len(own), d))
-    if not at:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return np.concatenate(at), np.concatenate(doc)
+        begin = block.starts[d]
+        own = found[begin : block.ends[d] - length + 1]
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        last = np.append(first[1:], len(own)) - 1
+        parts.append([own[first], np.full(len(first), d), first + begin, last + begin])
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _slices(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
@@ -92,9 +105,11 @@ def _slices(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
             return
 
 
+_SAMPLES = "did long, th long, pos long, low int, high int, name long, around long"
+
+
 def _sampler(length: int):
-    reach = reach_of(length)
-    sure = length - reach + 1
+    sure = length - reach_of(length) + 1
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,28 +130,27 @@ def _sampler(length: int):
                             yield keep
 
     def out(block, did, th, begin=0, at_start=True, at_end=True):
-        at, doc = _samples(block, length)
-        start, end = block.starts[doc], block.ends[doc]
+        at, doc, first, last = _owners(block, length)
         if not at_start or not at_end:
-            # What is near a cut has its surroundings in the neighbouring slice.
-            inner = (at_start | (at - start >= reach)) & (at_end | (end - at >= length))
-            at, doc, start, end = at[inner], doc[inner], start[inner], end[inner]
+            # What a cut truncates is whole in the neighbouring slice.
+            inner = (at_start | (first > block.starts[doc])) & (at_end | (last < block.ends[doc] - length))
+            at, doc, first, last = at[inner], doc[inner], first[inner], last[inner]
         if not len(at):
             return
-        left, right = np.minimum(at - start, reach - 1), np.minimum(end - at, length)
+        low, high = at - last, at - first
         ranges = RangeHash(block.data)
-        around = mix(ranges.of(at - left, at + right) + (left * (2 * length) + right).astype(np.uint64))
+        around = mix(ranges.of(first, last + length) + (low * length + high).astype(np.uint64))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(did[doc], pa.int64()),
                 pa.array(th[doc], pa.int64()),
-                pa.array(at - start + begin, pa.int64()),
-                pa.array(left, pa.int32()),
-                pa.array(right, pa.int32()),
+                pa.array(at - block.starts[doc] + begin, pa.int64()),
+                pa.array(low, pa.int32()),
+                pa.array(high, pa.int32()),
                 pa.array(ranges.of(at, at + sure).view(np.int64), pa.int64()),
                 pa.array(around.view(np.int64), pa.int64()),
             ],
-            names=["did", "th", "pos", "left", "right", "name", "around"],
+            names=["did", "th", "pos", "low", "high", "name", "around"],
         )
 
     return sample
@@ -153,107 +167,113 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _surroundings(length: int):
-    reach = reach_of(length)
+_CELLS = "name long, lo int, core long, n long, rep long, a int, b int, left binary, right binary"
+
+
+def _cells(length: int, width: int):
+    """Ranges of offsets of each sample: the core's hash and the edges around it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {n: [] for n in ("name", "around", "n", "did", "th", "pos", "left", "bytes")}
-            did, th = (batch.column(c).to_pylist() for c in ("did", "th"))
-            for i, (text, found) in enumerate(zip(texts_of(batch.column("text")), batch.column("found").to_pylist(), strict=True)):
+            rows = {c: [] for c in ("name", "lo", "core", "n", "rep", "a", "b", "left", "right")}
+            for text, found in zip(texts_of(batch.column("text")), batch.column("found").to_pylist(), strict=True):
                 for x in found:
-                    left = min(x["pos"], reach - 1)
-                    rows["bytes"].append(text[x["pos"] - left : x["pos"] + length])
-                    rows["left"].append(left)
-                    rows["did"].append(did[i])
-                    rows["th"].append(th[i])
-                    for c in ("name", "around", "n", "pos"):
-                        rows[c].append(x[c])
+                    at = x["pos"]
+                    for lo in range(x["low"] // width * width, x["high"] + 1, width):
+                        a, b = max(lo, x["low"]), min(lo + width - 1, x["high"])
+                        inner = at + length - lo - width + 1
+                        rows["name"].append(x["name"])
+                        rows["lo"].append(lo)
+                        rows["core"].append(xxhash.xxh3_64_intdigest(text[at - lo : inner]) - (1 << 63))
+                        rows["n"].append(x["n"])
+                        rows["rep"].append(x["around"])
+                        rows["a"].append(a)
+                        rows["b"].append(b)
+                        rows["left"].append(text[at - b : at - lo])
+                        rows["right"].append(text[inner : at + length - a])
             if rows["n"]:
-                kinds = {"bytes": pa.binary(), "left": pa.int32()}
+                kinds = {"lo": pa.int32(), "a": pa.int32(), "b": pa.int32(), "left": pa.binary(), "right": pa.binary()}
                 yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(c, pa.int64())) for c, v in rows.items()], names=list(rows))
 
     return cut
 
 
-def _settle(tuples: DataFrame, length: int) -> DataFrame:
-    """Spans (did, th, start, end) of the repeats of tuples that differ in their surroundings."""
-    reach = reach_of(length)
-    step = reach // RANGES
-    right = F.length("bytes") - F.col("left")
-
-    def piece(start, end):
-        """Hash of the bytes from ``start`` before the sample to ``end`` after it; null if cut off."""
-        inside = (F.col("left") >= start) & (right >= end)
-        return F.when(inside, F.xxhash64(F.substring(F.col("bytes"), F.col("left") - start + 1, start + end)))
-
-    first = F.col("b") * step
-    last = first + step - 1
-    key = ("name", "b", "core")
-    ranged = (
-        tuples.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(RANGES - 1))))
-        .withColumn("core", piece(first, F.lit(length) - last))
-        .filter(F.col("core").isNotNull())
-        .select("name", "around", "b", "n", "core", piece(last, F.lit(length) - first).alias("hull"))
-    )
-    ranged = durable(ranged)
-    groups = ranged.groupBy(*key).agg(
-        F.sum("n").alias("members"),
-        F.min("hull").alias("low"),
-        F.max("hull").alias("high"),
-        F.max(F.col("hull").isNull()).alias("cut"),
-    ).filter("members > 1")
-    state = durable(
-        ranged.join(groups, list(key)).select(
-            "name", "around", "b", "n", ((F.col("low") == F.col("high")) & ~F.col("cut")).alias("whole")
-        )
-    )
-    whole = state.filter("whole and n = 1").select("name", "around", first.alias("o1"), last.alias("o2"))
-    single = durable(
-        state.filter("not whole")
-        .join(tuples.select("name", "around", "left", "bytes"), ["name", "around"])
-        .withColumn("o", F.explode(F.sequence(first, last)))
-        .withColumn("string", piece(F.col("o"), F.lit(length) - F.col("o")))
-        .filter(F.col("string").isNotNull())
-        .select("name", "around", "n", "o", "string")
+def _narrower(cells: DataFrame, width: int, inner: int) -> DataFrame:
+    """Each range of ``width`` offsets as ranges of ``inner``, with the core grown and edges shrunk."""
+    children = cells.withColumn("c", F.explode(F.sequence(F.col("lo"), F.col("lo") + width - inner, F.lit(inner))))
+    children = children.withColumn("a2", F.greatest("a", "c")).withColumn("b2", F.least("b", F.col("c") + inner - 1))
+    to_core = F.col("lo") + width - F.col("c") - inner
+    grown = F.xxhash64(
+        "core",
+        F.substring("left", F.col("b") - F.col("c") + 1, F.col("c") - F.col("lo")),
+        F.substring("right", F.lit(1), to_core),
     )
-    twice = single.groupBy("name", "o", "string").agg(F.sum("n").alias("members")).filter("members > 1")
-    offsets = single.filter("n = 1").join(twice.drop("members"), ["name", "o", "string"], "left_semi")
-    offsets = offsets.select("name", "around", F.col("o").alias("o1"), F.col("o").alias("o2"))
-    return (
-        whole.union(offsets)
-        .join(tuples.filter("n = 1").select("name", "around", "did", "th", "pos"), ["name", "around"])
-        .select("did", "th", (F.col("pos") - F.col("o2")).alias("start"), (F.col("pos") - F.col("o1") + length).alias("end"))
+    return children.filter("a2 <= b2").select(
+        "name",
+        F.col("c").alias("lo"),
+        grown.alias("core"),
+        "n",
+        "rep",
+        F.col("a2").alias("a"),
+        F.col("b2").alias("b"),
+        F.substring("left", F.col("b") - F.col("b2") + 1, F.col("b2") - F.col("c")).alias("left"),
+        F.substring("right", to_core + 1, F.col("c") + inner - 1 - F.col("a2")).alias("right"),
     )
 
 
+def _settle(cells: DataFrame, widths: list[int]) -> DataFrame:
+    """(name, around, a, b): offsets a to b at which a tuple that occurs once owns repeated strings."""
+    key = ["name", "lo", "core", "edges"]
+    settled = []
+    for width, inner in zip(widths, [*widths[1:], None], strict=True):
+        rows = cells.withColumn("edges", F.xxhash64("a", "b", "left", "right"))
+        kinds = _stored(rows.groupBy(*key).agg(F.sum("n").alias("members"), F.min("rep").alias("first")))
+        settled.append(
+            _stored(
+                rows.filter("n = 1")
+                .join(kinds.filter("members > 1").select(*key), key, "left_semi")
+                .select("name", F.col("rep").alias("around"), "a", "b")
+            )
+        )
+        if inner is None:
+            break
+        differing = (
+            kinds.groupBy("name", "lo", "core")
+            .agg(F.count("*").alias("kinds"), F.min("members").alias("least"))
+            .filter("kinds > 1 and least = 1")
+        )
+        chosen = kinds.join(differing.select("name", "lo", "core"), ["name", "lo", "core"], "left_semi")
+        chosen = chosen.withColumnRenamed("first", "rep").withColumnRenamed("members", "total")
+        cells = rows.join(chosen, [*key, "rep"]).withColumn("n", F.col("total")).drop("total", "edges")
+        cells = _stored(_narrower(cells, width, inner))
+    return reduce(DataFrame.union, settled)
+
+
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """Byte spans (did, th, start, end), which may overlap, that repeats of ``length`` bytes cover."""
+    widths = [w for w in WIDTHS if w <= reach_of(length)]
     keyed = _keyed(docs)
-    schema = "did long, th long, pos long, left int, right int, name long, around long"
-    samples = durable(keyed.select("did", "th", "text").mapInArrow(_sampler(length), schema))
+    samples = _stored(keyed.select("did", "th", "text").mapInArrow(_sampler(length), _SAMPLES))
     names = samples.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
-    samples = durable(samples.join(names, "name", "left_semi"))
-    tuples = durable(
-        samples.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "pos")).alias("at"))
-    )
-    open_names = tuples.groupBy("name").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    samples = _stored(samples.join(names, "name", "left_semi"))
+    at = F.min(F.struct("did", "th", "pos", "low", "high")).alias("at")
+    tuples = _stored(samples.groupBy("name", "around").agg(F.count("*").alias("n"), at))
+    open_names = tuples.groupBy("name").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
     found = (
         tuples.join(open_names, "name", "left_semi")
         .groupBy(F.col("at.did").alias("did"), F.col("at.th").alias("th"))
-        .agg(F.collect_list(F.struct(F.col("at.pos").alias("pos"), "name", "around", "n")).alias("found"))
-    )
-    cut_schema = "name long, around long, n long, did long, th long, pos long, left int, bytes binary"
-    differing = durable(
-        keyed.join(found, ["did", "th"])
-        .select("did", "th", "text", "found")
-        .mapInArrow(_surroundings(length), cut_schema)
-        .dropDuplicates(["name", "around"])
+        .agg(F.collect_list(F.struct("at.pos", "at.low", "at.high", "name", "around", "n")).alias("found"))
     )
-    copies = samples.join(tuples.filter("n > 1").select("name", "around"), ["name", "around"], "left_semi").select(
-        "did", "th", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end")
+    # Of a row that is repeated as a whole every tuple occurs twice, so counting it again does no harm.
+    cells = _stored(keyed.join(found, ["did", "th"]).select("text", "found").mapInArrow(_cells(length, widths[0]), _CELLS))
+    once = tuples.filter("n = 1").select("name", "around", "at.did", "at.th", "at.pos")
+    spans = [
+        _settle(cells, widths).join(once, ["name", "around"]).select("did", "th", "pos", F.col("a").alias("low"), F.col("b").alias("high")),
+        samples.join(tuples.filter("n > 1").select("name", "around"), ["name", "around"], "left_semi").select("did", "th", "pos", "low", "high"),
+    ]
+    return reduce(DataFrame.union, spans).select(
+        "did", "th", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("end")
     )
-    return copies.filter(F.col("end") - F.col("start") >= length).union(_settle(differing, length))
 
 
 def merge_spans(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
@@ -297,6 +317,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         .agg(F.collect_set(F.struct("start", "end")).alias("s"))
         .select("did", "th", F.col("s.start").alias("starts"), F.col("s.end").alias("ends"))
     )
+    spans = _stored(spans)
     joined = _keyed(docs).join(spans, ["did", "th"], "left").select("doc_id", "text", "starts", "ends")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
