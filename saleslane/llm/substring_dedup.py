@@ -242,6 +242,7 @@ def _settle(cells: DataFrame, widths: list[int]) -> DataFrame:
             .agg(F.count("*").alias("kinds"), F.min("members").alias("least"))
             .filter("kinds > 1 and least = 1")
         )
+        differing = _stored(differing)
         chosen = kinds.join(differing.select("name", "lo", "core"), ["name", "lo", "core"], "left_semi")
         chosen = chosen.withColumnRenamed("first", "rep").withColumnRenamed("members", "total")
         cells = rows.join(chosen, [*key, "rep"]).withColumn("n", F.col("total")).drop("total", "edges")
@@ -254,11 +255,13 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     widths = [w for w in WIDTHS if w <= reach_of(length)]
     keyed = _keyed(docs)
     samples = _stored(keyed.select("did", "th", "text").mapInArrow(_sampler(length), _SAMPLES))
-    names = samples.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
+    # Stored, so that a join with a hot name has two plain shuffles, which Spark can split.
+    names = _stored(samples.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1"))
     samples = _stored(samples.join(names, "name", "left_semi"))
     at = F.min(F.struct("did", "th", "pos", "low", "high")).alias("at")
     tuples = _stored(samples.groupBy("name", "around").agg(F.count("*").alias("n"), at))
-    open_names = tuples.groupBy("name").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
+    kinds = tuples.groupBy("name").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
+    open_names = _stored(kinds.filter("kinds > 1 and least = 1"))
     found = (
         tuples.join(open_names, "name", "left_semi")
         .groupBy(F.col("at.did").alias("did"), F.col("at.th").alias("th"))
