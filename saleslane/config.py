@@ -52,11 +52,13 @@ class EtsConfig:
     beta: float | None = None
     gamma: float | None = None
     fixed_phi: float = 0.98
-    grid_alpha: tuple[float, ...] = (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.8)
-    grid_beta: tuple[float, ...] = (0.0, 0.01, 0.05, 0.15, 0.3)
-    grid_gamma: tuple[float, ...] = (0.0, 0.02, 0.05, 0.1, 0.2, 0.4)
-    grid_phi: tuple[float, ...] = (0.8, 0.9, 0.95, 0.98)
+    # The ends are the bounds of the parameters, so no winner is cut off by the grid.
+    grid_alpha: tuple[float, ...] = (0.0, 0.03, 0.1, 0.25, 0.5, 1.0)
+    grid_beta: tuple[float, ...] = (0.0, 0.02, 0.1, 0.4, 1.0)
+    grid_gamma: tuple[float, ...] = (0.0, 0.03, 0.1, 0.3, 1.0)
+    grid_phi: tuple[float, ...] = (0.8, 0.9, 0.95, 0.995)
     refine: bool = True
+    refinements: int = 3
 
     @property
     def is_fixed(self) -> bool:

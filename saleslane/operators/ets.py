@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from saleslane import config as _config
 from saleslane.config import EtsConfig
-from saleslane.functions.exprs import series_window
+from saleslane.functions.exprs import series_window, strict_avg
 from saleslane.operators import smoothing as _smoothing
 from saleslane.operators.smoothing import (
     Recursion,
@@ -31,6 +31,7 @@ from saleslane.operators.smoothing import (
     unusable,
     values_of,
 )
+from saleslane.plans.durable import durable
 
 # The code that runs inside tasks travels with them, so executors need no installed package.
 for _module in (_config, _smoothing):
@@ -62,7 +63,9 @@ _COMPONENTS = [
 
 
 def _in_series_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys, "date")
+    """Rows dealt out by series and sorted; the given number keeps few series from sharing a task."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys, "date")
 
 
 def ets_fit(
@@ -71,20 +74,21 @@ def ets_fit(
     """One state row per series: parameters, final level, trend and season, error and size.
 
     Fixed parameters are used only if all three are given.  Otherwise a grid is searched for
-    the least squared one-step error and, with ``spec.refine``, a finer grid around each
-    series' winner.  Series that are too short, lack a value, are not positive under a
+    the least squared one-step error and, with ``spec.refine``, ever finer grids around each
+    series' winner, which may lie anywhere between the bounds of the parameters.  Series that are too short, lack a value, are not positive under a
     multiplicative part or never give a finite error are marked ``fallback`` and keep a
     trailing mean as their level.
     """
     rows = df.select(*keys, "date", F.col(y).cast("double").alias("y"))
-    states = _fit_pass(rows, keys, spec, refine=False)
+    states = _fit_pass(rows, keys, spec)
     if spec.refine and not spec.is_fixed:
-        coarse = states.select(*keys, *PARAMS)
-        states = _fit_pass(rows.join(coarse, list(keys), "left"), keys, spec, refine=True)
+        for finer in range(1, spec.refinements + 1):
+            winner = durable(states).select(*keys, *PARAMS)
+            states = _fit_pass(rows.join(winner, list(keys), "left"), keys, spec, finer)
     return states
 
 
-def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, refine: bool) -> DataFrame:
+def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, finer: int = 0) -> DataFrame:
     keys = list(keys)
     schema = T.StructType([rows.schema[k] for k in keys] + _STATE)
     names = [f.name for f in schema]
@@ -116,8 +120,8 @@ def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, refine: boo
             yield row | (state or {"level": level})
 
     def _candidates(row: pd.Series):
-        if refine and pd.notna(row["alpha"]):
-            return grid_around(spec, tuple(float(row[p]) for p in PARAMS))
+        if finer and pd.notna(row["alpha"]):
+            return grid_around(spec, tuple(float(row[p]) for p in PARAMS), finer)
         return grid(spec)
 
     return _in_series_order(rows, keys).mapInPandas(fit, schema)
@@ -197,19 +201,21 @@ def series_describe(
         F.count(F.lit(1)).alias("n"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        F.avg(y).alias("mean"),
-        F.stddev_pop(y).alias("std"),
+        strict_avg(F.col(y)).alias("mean"),
+        F.when(F.count(y) == F.count(F.lit(1)), F.stddev_pop(y)).alias("std"),
     )
 
 
 def ets_fit_stats(components: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Errors per series; one missing residual makes its series' errors NULL, as one zero actual
+    makes its percentage error."""
     residual = F.col("ets_residual")
-    mse = F.avg(residual * residual)
+    mse = strict_avg(residual * residual)
     return components.groupBy(*keys).agg(
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
-        F.avg(F.abs(residual)).alias("mae"),
-        (F.avg(F.abs(F.try_divide(residual, F.col("actual")))) * 100).alias("mape"),
+        strict_avg(F.abs(residual)).alias("mae"),
+        (strict_avg(F.abs(F.try_divide(residual, F.col("actual")))) * 100).alias("mape"),
     )
 
 

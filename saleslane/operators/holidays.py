@@ -62,22 +62,15 @@ def holiday_flag(df: DataFrame, calendar: DataFrame, before: int = 14, after: in
     )
 
 
-def with_holiday_flag(
-    df: DataFrame, first_year: int, last_year: int, before: int = 14, after: int = 5
-) -> DataFrame:
-    """:func:`holiday_flag` for the built-in calendar, padded by a year on each side.
+def years_of(df: DataFrame) -> DataFrame:
+    """The calendar years that the dates span, with one more on each side; one pass, one row a year."""
+    span = df.agg(F.min(F.year("date")).alias("low"), F.max(F.year("date")).alias("high"))
+    return span.select(F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)).alias("year"))
 
-    The flag table has at most ``4 * (2 * 14 + 1)`` rows per year, known before it is built, so
-    broadcasting it is safe for any panel; the bound is checked all the same.
-    """
-    flag_rows = 4 * (2 * max(before, after) + 1) * (last_year - first_year + 3)
-    calendar = holiday_calendar(year_range(df.sparkSession, first_year - 1, last_year + 1))
-    if flag_rows > 100_000:
-        return holiday_flag(df, calendar, before, after)
-    flags = F.broadcast(holiday_flags(calendar, before, after))
-    return df.join(flags, "date", "left").withColumn(
-        "holiday_flag", F.coalesce("holiday_flag", F.lit(NO_HOLIDAY))
-    )
+
+def with_holiday_flag(df: DataFrame, before: int = 14, after: int = 5) -> DataFrame:
+    """:func:`holiday_flag` for the built-in calendar of the years that occur in ``df``."""
+    return holiday_flag(df, holiday_calendar(years_of(df)), before, after)
 
 
 def add_holiday_phases(df: DataFrame, pre: int = 7, post: int = 5) -> DataFrame:

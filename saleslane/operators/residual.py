@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from saleslane.config import BoostConfig
 from saleslane.functions.dates import TEMPORAL
 from saleslane.operators.splits import fill_missing
+from saleslane.plans.durable import durable
 
 KEYS = ("category",)
 TARGET = "ets_residual"
@@ -53,57 +54,81 @@ def model_matrix(
     return fill_missing(df, gaps, keys).select(*features, *carried)
 
 
+#: Training dates are dealt to this many groups of blocks of so many days; see ``series_encoding``.
+FOLDS = 5
+FOLD_DAYS = 28
+ALL_FOLDS = -1
+
+
 @dataclass(frozen=True)
 class ResidualModel:
-    """A fitted pipeline with the feature order it was trained on.
-
-    ``encoding`` holds the mean residual per series when there are more series than a nominal
-    feature can have bins, and is None otherwise.
-    """
+    """A fitted pipeline with the feature order it was trained on and the code of each series."""
 
     pipeline: PipelineModel
     keys: tuple[str, ...]
     features: tuple[str, ...]
-    encoding: DataFrame | None = None
+    encoding: DataFrame
 
     @property
     def rounds(self) -> int:
         return self.pipeline.stages[-1].getNumTrees
 
     def predict(self, matrix: DataFrame, out: str = "residual_forecast") -> DataFrame:
-        coded = _with_series_code(matrix, self.keys, self.encoding)
+        coded = _with_series_code(matrix.withColumn("_fold", F.lit(ALL_FOLDS)), self.keys, self.encoding)
         return (
             self.pipeline.transform(coded)
             .withColumnRenamed("prediction", out)
-            .drop("_series", "_series_code", "_features")
+            .drop("_fold", "_series_code", "_features")
         )
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        meta = [(list(self.keys), list(self.features), self.encoding is not None)]
-        schema = "keys array<string>, features array<string>, encoded boolean"
+        meta = [(list(self.keys), list(self.features))]
+        schema = "keys array<string>, features array<string>"
         spark.createDataFrame(meta, schema).coalesce(1).write.mode("overwrite").json(f"{path}/meta")
-        if self.encoding is not None:
-            self.encoding.write.mode("overwrite").parquet(f"{path}/encoding")
+        self.encoding.write.mode("overwrite").parquet(f"{path}/encoding")
 
 
 def load_residual_model(spark: SparkSession, path: str) -> ResidualModel:
-    schema = "keys array<string>, features array<string>, encoded boolean"
-    meta = spark.read.schema(schema).json(f"{path}/meta").first()
-    encoding = spark.read.parquet(f"{path}/encoding") if meta["encoded"] else None
+    meta = spark.read.schema("keys array<string>, features array<string>").json(f"{path}/meta").first()
+    encoding = spark.read.parquet(f"{path}/encoding")
     pipeline = PipelineModel.load(f"{path}/pipeline")
     return ResidualModel(pipeline, tuple(meta["keys"]), tuple(meta["features"]), encoding)
 
 
-def series_label(keys: Sequence[str]) -> Column:
-    return F.concat_ws("\u001f", *(F.col(k).cast("string") for k in keys))
+def fold_of(date: Column) -> Column:
+    """The group of date blocks that a training row belongs to."""
+    return F.pmod(F.floor(F.datediff(date, F.lit("1970-01-01").cast("date")) / FOLD_DAYS), F.lit(FOLDS)).cast("int")
+
+
+def series_encoding(train: DataFrame, keys: Sequence[str] = KEYS, y: str = TARGET) -> DataFrame:
+    """Rows (keys, _fold, _series_code): a series' mean residual without the dates of a fold.
+
+    A training row takes the mean of the other folds, so its own residual, and those of the days
+    around it, never reach its features.  The rows of fold ``ALL_FOLDS`` hold the mean of all
+    training rows, for every other row.  The same for any number of series; a series that has no
+    other fold gets 0.
+    """
+    keys = list(keys)
+    known = train.filter(F.col(y).isNotNull())
+    parts = known.groupBy(*keys, fold_of(F.col("date")).alias("_fold")).agg(
+        F.sum(y).alias("part_sum"), F.count(F.lit(1)).alias("part_n")
+    )
+    folds = F.explode(F.sequence(F.lit(ALL_FOLDS), F.lit(FOLDS - 1))).alias("_fold")
+    whole = parts.groupBy(*keys).agg(F.sum("part_sum").alias("all_sum"), F.sum("part_n").alias("all_n"))
+    rest_sum = F.col("all_sum") - F.coalesce("part_sum", F.lit(0.0))
+    rest_n = F.col("all_n") - F.coalesce("part_n", F.lit(0))
+    code = F.when(rest_n > 0, rest_sum / rest_n).otherwise(0.0)
+    return (
+        whole.select(*keys, "all_sum", "all_n", folds)
+        .join(parts, [*keys, "_fold"], "left")
+        .select(*keys, "_fold", code.alias("_series_code"))
+    )
 
 
-def _with_series_code(df: DataFrame, keys: Sequence[str], encoding: DataFrame | None) -> DataFrame:
-    if encoding is None:
-        return df.withColumn("_series", series_label(keys))
-    return df.join(encoding, list(keys), "left").fillna({"_series_code": 0.0})
+def _with_series_code(df: DataFrame, keys: Sequence[str], encoding: DataFrame) -> DataFrame:
+    return df.join(encoding, [*keys, "_fold"], "left").fillna({"_series_code": 0.0})
 
 
 def merge_params(defaults: BoostConfig, tuned: dict[str, float] | None) -> BoostConfig:
@@ -120,51 +145,28 @@ def fit_residual_model(
 ) -> ResidualModel:
     """Fit one model over all series on the rows that are not ``validation``.
 
-    With ``config.patience`` all rounds are grown, the best one under that patience is read
-    off the validation errors, and the trees after it are dropped.  Without it, boosting
-    stops as soon as a round gains less than ``config.early_stop_tol``.
-
-    The series is a nominal feature while it fits the bins, which also bounds the label list
-    that the indexer keeps on the driver.  Beyond that it becomes the mean training residual
-    of the series, a joined table, which for squared loss puts the series in the order that
-    the best split follows.
+    With ``config.patience`` boosting grows by blocks, twice as many rounds each time, until the
+    mean absolute error on the validation rows has not fallen for that many rounds; the trees
+    after the best round are dropped.  Without it, boosting stops as soon as a round gains less
+    than ``config.early_stop_tol``.  A series enters as its :func:`series_encoding`.
     """
     keys = tuple(keys)
     rows = matrix.dropna(subset=[TARGET])
     held_out = F.lit(False) if validation is None else F.coalesce(validation, F.lit(False))
     rows = rows.withColumn("_held_out", held_out)
     numeric = [c for c in feature_columns(matrix) if c not in keys]
+    features = ("_series_code", *numeric)
 
-    label = series_label(keys)
-    labels = [r[0] for r in rows.select(label).distinct().limit(config.max_bins).collect()]
-    few = len(labels) < config.max_bins
-    encoding = None if few else _mean_residual(rows, keys)
-    assembler = VectorAssembler(inputCols=["_series_code", *numeric], outputCol="_features")
-    steps = [assembler]
-    if few:
-        steps.insert(0, _series_indexer(sorted(labels)))
-
-    coded = _with_series_code(rows, keys, encoding)
-    data = PipelineModel(steps).transform(coded).select("_features", TARGET, "_held_out").persist()
+    encoding = durable(series_encoding(rows.where(~F.col("_held_out")), keys))
+    fold = F.when(F.col("_held_out"), ALL_FOLDS).otherwise(fold_of(F.col("date")))
+    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
+    coded = _with_series_code(rows.withColumn("_fold", fold), keys, encoding)
+    data = assembler.transform(coded).select("_features", TARGET, "_held_out").persist()
     try:
         booster = _boost(data, config, validation is not None)
     finally:
         data.unpersist()
-    return ResidualModel(
-        PipelineModel([*steps, booster]), keys, tuple(["_series_code", *numeric]), encoding
-    )
-
-
-def _series_indexer(labels: list[str]) -> StringIndexerModel:
-    """Codes for the known labels and one more for any other."""
-    return StringIndexerModel.from_labels(
-        labels, inputCol="_series", outputCol="_series_code", handleInvalid="keep"
-    )
-
-
-def _mean_residual(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    train = F.when(~F.col("_held_out"), F.col(TARGET))
-    return rows.groupBy(*keys).agg(F.coalesce(F.avg(train), F.lit(0.0)).alias("_series_code"))
+    return ResidualModel(PipelineModel([assembler, booster]), keys, features, encoding)
 
 
 def _boost(data: DataFrame, config: BoostConfig, has_validation: bool):
@@ -188,10 +190,15 @@ def _boost(data: DataFrame, config: BoostConfig, has_validation: bool):
     if config.patience is None:
         gbt.setParams(validationIndicatorCol="_held_out", validationTol=config.early_stop_tol)
         return gbt.fit(data)
-    full = gbt.fit(train)
-    errors = full.evaluateEachIteration(data.where("_held_out"), "squared")
-    best = best_round(errors, config.patience)
-    return full if best == len(errors) else _first_rounds(full, best)
+    rounds = min(config.rounds, 2 * config.patience)
+    while True:
+        # The same seed grows the same first trees.
+        full = gbt.fit(train, {gbt.maxIter: rounds})
+        errors = full.evaluateEachIteration(data.where("_held_out"), "absolute")
+        best = best_round(errors, config.patience)
+        if best + config.patience <= rounds or rounds == config.rounds:
+            return full if best == len(errors) else _first_rounds(full, best)
+        rounds = min(config.rounds, 2 * rounds)
 
 
 def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:

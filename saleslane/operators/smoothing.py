@@ -26,15 +26,20 @@ def grid(spec: EtsConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return _product(spec, axes)
 
 
-def grid_around(spec: EtsConfig, winner: tuple[float, float, float, float]):
-    """A finer grid between the neighbours of a coarse winner, which it contains."""
+def grid_around(spec: EtsConfig, winner: tuple[float, float, float, float], finer: int = 1):
+    """A grid around a winner, which it contains, as wide as its coarse neighbours are apart.
+
+    Every further refinement is a third as wide and centred on the winner so far, so the search
+    can leave the cell it started in; only the first and last grid points bound it.
+    """
     steps = [spec.grid_alpha, spec.grid_beta, spec.grid_gamma, spec.grid_phi]
     axes = []
     for value, points in zip(winner, steps):
-        below = max((p for p in points if p < value), default=value)
-        above = min((p for p in points if p > value), default=value)
-        between = {value, *(value + (e - value) * f for e in (below, above) for f in (1 / 3, 2 / 3))}
-        axes.append(tuple(sorted(between)))
+        below = value - max((p for p in points if p < value), default=value)
+        above = min((p for p in points if p > value), default=value) - value
+        reach = [-below * 2 / 3, -below / 3, 0.0, above / 3, above * 2 / 3]
+        near = {min(max(value + r / 3 ** (finer - 1), min(points)), max(points)) for r in reach}
+        axes.append(tuple(sorted(near | {value})))
     return _product(spec, axes)
 
 

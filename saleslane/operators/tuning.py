@@ -59,6 +59,8 @@ def tune(
     roles = fold_table(matrix, tuning.folds, tuning.min_train, tuning.val, tuning.anchor)
     roles = roles.persist()
     folds = [r["fold"] for r in roles.select("fold").distinct().orderBy("fold").collect()]
+    if not folds:
+        raise ValueError("not enough dates for a single fold: lower min_train or val")
     trials = sample_params(space, tuning.trials, tuning.seed)
 
     def score(job: tuple[int, int]) -> tuple:

@@ -504,7 +504,7 @@ _SUMMARY = """
               FROM verdict"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _plain_sql() -> dict[str, str]:
     fill = f"SELECT {SKU_DAY}, fill_kind FROM "
     cal = _HOLIDAYS.format(
         years="(SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS y FROM lineitem)"
@@ -584,7 +584,7 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN rnk < 1000 THEN 'train' WHEN rnk < 1030 THEN 'val' ELSE 'test' END AS split
             FROM panel JOIN ranks USING (date) WHERE rnk < 1060"""),
         "semi_join_dates": _with("panel", f"""SELECT category, date, {_r('sales')} FROM panel
-            WHERE date IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 495000)"""),
+            WHERE date IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE day(o_orderdate) = 13)"""),
         "union_splits": _with("labelled", f"""SELECT category, date, {_r('sales')}, split
             FROM labelled WHERE split <> 'test'"""),
         "expanding_folds": _with("panel ranks", _fold_sql()),
@@ -718,3 +718,28 @@ def oracle_sql() -> dict[str, str]:
                   ON mape, mae, mase, bias_pct INTO NAME metric VALUE value)"""),
         "run_summary": _with("sku_day panel by_category verdict", _SUMMARY),
     }
+
+
+_SERIES_ENCODING = """
+    SELECT a.sku_id, f.fold,
+           round(CASE WHEN a.n > coalesce(p.n, 0)
+                      THEN (a.s - coalesce(p.s, 0)) / (a.n - coalesce(p.n, 0)) ELSE 0 END, 6) + 0e0 AS code
+    FROM (SELECT sku_id, sum(sales) AS s, count(*) AS n FROM sku_day GROUP BY 1) a
+    CROSS JOIN (SELECT CAST(unnest(range(-1, 5)) AS INTEGER) AS fold) f
+    LEFT JOIN (SELECT sku_id, (date_diff('day', DATE '1970-01-01', date) // 28) % 5 AS fold,
+                      sum(sales) AS s, count(*) AS n FROM sku_day GROUP BY 1, 2) p
+      ON a.sku_id = p.sku_id AND f.fold = p.fold"""
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL by query; what is written and read again must equal what was written."""
+    plain = _plain_sql()
+    return plain | {
+        "csv_round_trip": plain["load_sku_day"],
+        "panel_sink": plain["load_sku_day"],
+        "ets_state_reload": plain["ets_forecast"],
+        "series_encoding": _with("sku_day", _SERIES_ENCODING),
+        "params_round_trip": _with("sku_day", """SELECT 'absent_before' AS name, 1e0 AS value UNION ALL
+            SELECT 'most', max(sales) FROM sku_day UNION ALL
+            SELECT 'series', CAST(count(DISTINCT sku_id) AS DOUBLE) FROM sku_day"""),
+    }

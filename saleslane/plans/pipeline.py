@@ -76,7 +76,7 @@ def run_pipeline(
     of the forecast) and the model matrix (read by every boosting fit).
     """
     spark, keys, split = sku_day.sparkSession, config.keys, config.split
-    panel = prepare_panel(sku_day, exog, config)
+    panel = durable(prepare_panel(sku_day, exog, config))
     features = durable(
         date_split(
             engineer_features(panel, config.features, keys),
@@ -107,8 +107,8 @@ def run_pipeline(
 
     horizon = config.horizon or split.test
     future = future_frame(history, horizon, keys, promo_plan, weather, config.features)
-    forecast = hybrid_forecast(state, model, future, horizon, keys, config.ets)
-    evaluated = eval_join(test, forecast, keys)
+    forecast = durable(hybrid_forecast(state, model, future, horizon, keys, config.ets))
+    evaluated = durable(eval_join(test, forecast, keys))
     metrics = forecast_metrics(evaluated, keys=keys, m=config.ets.period)
     return Run(
         sku_day=sku_day,

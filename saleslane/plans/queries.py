@@ -6,6 +6,7 @@ the same numbers in another order differ in the last bits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +38,9 @@ from saleslane.operators import (
     splits,
     tuning,
 )
-from saleslane.plans.durable import durable
+from saleslane.plans.durable import checkpoint_dir, durable
 from saleslane.plans.pipeline import Run, prepare_panel, run_pipeline
-from saleslane.sources import bridge
+from saleslane.sources import bridge, panels
 
 FIXED = EtsConfig(alpha=0.2, beta=0.05, gamma=0.1)
 SMALL_GRID = EtsConfig(
@@ -172,6 +173,32 @@ def load_sku_day(spark, sf):
     return nan_to_null(sku_day(spark, sf))
 
 
+def csv_round_trip(spark, sf):
+    path = f"{checkpoint_dir(spark)}/sku-day-{uuid.uuid4().hex}"
+    panels.write_panel(sku_day(spark, sf), path, "csv")
+    return panels.read_sku_day(spark, path, "csv")
+
+
+def panel_sink(spark, sf):
+    path = f"{checkpoint_dir(spark)}/sku-day-{uuid.uuid4().hex}"
+    panels.write_panel(sku_day(spark, sf), path, partition_by=["category"])
+    return panels.read_sku_day(spark, path)
+
+
+def params_round_trip(spark, sf):
+    path = f"{checkpoint_dir(spark)}/params-{uuid.uuid4().hex}"
+    absent = panels.load_params(spark, path) is None
+    row = sku_day(spark, sf).agg(F.countDistinct("sku_id").alias("series"), F.max("sales").alias("most")).first()
+    panels.save_params(spark, {**row.asDict(), "absent_before": float(absent)}, path)
+    saved = panels.load_params(spark, path)
+    return spark.createDataFrame(sorted(saved.items()), "name string, value double")
+
+
+def series_encoding(spark, sf):
+    rows = residual.series_encoding(sku_day(spark, sf), ("sku_id",), "sales")
+    return rows.select("sku_id", F.col("_fold").alias("fold"), F.col("_series_code").alias("code"))
+
+
 def load_exog(spark, sf):
     return nan_to_null(exog(spark, sf))
 
@@ -234,7 +261,7 @@ def holiday_calendar(spark, sf):
 
 
 def holiday_flag(spark, sf):
-    return holidays.with_holiday_flag(ship_dates(spark, sf).distinct(), 1992, 2004)
+    return holidays.with_holiday_flag(ship_dates(spark, sf).distinct())
 
 
 def date_spine(spark, sf):
@@ -282,7 +309,7 @@ def date_split(spark, sf):
 
 def semi_join_dates(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
-    busy = orders.where("o_totalprice > 495000").select(F.to_date("o_orderdate").alias("date"))
+    busy = orders.where("dayofmonth(o_orderdate) = 13").select(F.to_date("o_orderdate").alias("date"))
     return splits.semi_join_dates(panel(spark, sf).select("category", "date", "sales"), busy)
 
 
@@ -358,6 +385,12 @@ def ets_forecast(spark, sf):
     return ets.ets_forecast(ets_fixed(spark, sf), HORIZON, spec=FIXED)
 
 
+def ets_state_reload(spark, sf):
+    path = f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    panels.write_panel(ets_fixed(spark, sf), f"{path}/ets_state")
+    return ets.ets_forecast(panels.load_ets_state(spark, path), HORIZON, spec=FIXED)
+
+
 def ets_fit_stats(spark, sf):
     return ets.ets_fit_stats(ets_components(spark, sf))
 
@@ -509,6 +542,11 @@ def run_summary(spark, sf):
 
 _REGISTERED: dict[str, Query] = {
     "load_sku_day": load_sku_day,
+    "csv_round_trip": csv_round_trip,
+    "panel_sink": panel_sink,
+    "params_round_trip": params_round_trip,
+    "series_encoding": series_encoding,
+    "ets_state_reload": ets_state_reload,
     "load_exog": load_exog,
     "sku_keys": sku_keys,
     "input_profile": lambda s, d: rollup.input_profile(sku_day(s, d)),

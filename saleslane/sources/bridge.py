@@ -76,4 +76,4 @@ def exog_panel(lines: DataFrame) -> DataFrame:
             .alias("avg_snowfall"),
         )
     )
-    return with_holiday_flag(weather, first_year=1992, last_year=2004)
+    return with_holiday_flag(weather)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ def read_panel(
 ) -> DataFrame:
     """Read CSV or Parquet with a given schema; dates may be strings, timestamps or dates.
 
-    CSV is read with the schema, never inferred.  Parquet keeps its own types and is cast, so
+    CSV is read with the schema, never inferred; a value that does not fit it is an error.  Parquet keeps its own types and is cast, so
     filters and column selections still reach the scan.
     """
     if fmt == "csv":
@@ -27,7 +28,7 @@ def read_panel(
                 for f in schema
             ]
         )
-        raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+        raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     else:
         raw = spark.read.format(fmt).load(path)
     typed = raw.select(*(_typed(f) for f in schema))
@@ -71,6 +72,17 @@ def save_params(spark: SparkSession, params: dict[str, float], path: str) -> Non
     row.coalesce(1).write.mode("overwrite").json(path)
 
 
-def load_params(spark: SparkSession, path: str) -> dict[str, float]:
-    row = spark.read.schema("pooled map<string,double>").json(path).first()
+def load_params(spark: SparkSession, path: str) -> dict[str, float] | None:
+    """Saved parameters, or None if nothing has been saved at ``path``."""
+    try:
+        row = spark.read.schema("pooled map<string,double>").json(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     return dict(row["pooled"]) if row else {}
+
+
+def load_ets_state(spark: SparkSession, path: str) -> DataFrame:
+    """The smoothing states that a run has saved under ``path``; forecasts start from them."""
+    return spark.read.parquet(f"{path}/ets_state")

@@ -96,13 +96,19 @@ def test_holiday_flag_equals_a_loop(spark):
         return away if -5 <= away <= 14 else -100
 
     df = spark.createDataFrame([(d,) for d in dates], "date date")
-    got = ordered(holidays.with_holiday_flag(df, 2020, 2024), "date")
+    got = ordered(holidays.with_holiday_flag(df), "date")
     assert got["holiday_flag"].tolist() == [nearest(d) for d in dates]
-    phases = ordered(holidays.add_holiday_phases(holidays.with_holiday_flag(df, 2020, 2024)), "date")
+    phases = ordered(holidays.add_holiday_phases(holidays.with_holiday_flag(df)), "date")
     assert (phases["is_holiday_peak"].sum()) == 4 * 5
     assert ((phases["holiday_flag"] == 8) & (phases["is_pre_holiday"] == 1)).sum() == 0
 
 
+def test_holidays_of_any_year_are_found(spark):
+    df = spark.createDataFrame([(dt.date(2050, 12, 25),), (dt.date(1901, 12, 24),), (None,)], "date date")
+    got = {str(r.date): r.holiday_flag for r in holidays.with_holiday_flag(df).collect()}
+    assert got == {"2050-12-25": 0, "1901-12-24": 1, "None": -100}
+
+
 def test_missing_holiday_flag_gives_zero_phases(spark):
     df = spark.createDataFrame([(day(0), None)], "date date, holiday_flag int")
     row = holidays.add_holiday_phases(df).first()

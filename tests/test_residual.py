@@ -43,24 +43,39 @@ def test_reloaded_model_predicts_the_same(spark, matrix, tmp_path):
     assert predicted(model) == predicted(again) and again.features == model.features
 
 
-def test_more_series_than_bins_are_encoded_by_a_join(spark, matrix, tmp_path):
-    many = matrix.withColumn("category", F.concat("category", (F.dayofmonth("date") % 12).cast("string")))
-    config = BoostConfig(**{**SMALL.__dict__, "max_bins": 16})
-    model = residual.fit_residual_model(many, config)
-    assert model.encoding is not None and model.encoding.count() == 24
+@pytest.mark.parametrize("series", [2, 24])
+def test_any_number_of_series_takes_the_same_path(spark, matrix, tmp_path, series):
+    part = F.when(F.lit(series > 2), (F.dayofmonth("date") % 12).cast("string")).otherwise("")
+    many = matrix.withColumn("category", F.concat("category", part))
+    for bins in (16, 64):
+        model = residual.fit_residual_model(many, BoostConfig(**{**SMALL.__dict__, "max_bins": bins}))
+        assert [type(s).__name__ for s in model.pipeline.stages] == ["VectorAssembler", "GBTRegressionModel"]
+        assert model.features[0] == "_series_code" and model.encoding.count() == series * 6
     assert model.predict(many).where("residual_forecast is null").count() == 0
     model.save(str(tmp_path / "m"))
     again = residual.load_residual_model(spark, str(tmp_path / "m"))
     assert again.predict(many).count() == many.count()
 
 
+def test_encoding_leaves_out_the_rows_own_dates(spark):
+    rows = [("A", day(28 * i + k), float(10**i)) for i in range(5) for k in (0, 1)] + [("B", day(0), 7.0), ("C", day(3), None)]
+    df = spark.createDataFrame(rows, "category string, date date, ets_residual double")
+    folds = {r.date: r.f for r in df.select("date", residual.fold_of(F.col("date")).alias("f")).collect()}
+    got = {(r.category, r._fold): r._series_code for r in residual.series_encoding(df).collect()}
+    for fold in range(5):
+        rest = [y for c, d, y in rows if c == "A" and folds[d] != fold]
+        assert got[("A", fold)] == pytest.approx(sum(rest) / len(rest))
+    assert got[("A", -1)] == pytest.approx(2222.2)
+    assert {got[("B", f)] for f in range(5)} == {0.0, 7.0} and got[("B", folds[day(0)])] == 0.0
+    assert not any(c == "C" for c, _ in got)
+
+
 def test_dropping_trees_equals_a_shorter_fit(matrix):
     longer = residual.fit_residual_model(matrix, SMALL)
     shorter = residual.fit_residual_model(matrix, BoostConfig(**{**SMALL.__dict__, "rounds": 2}))
     cut = residual._first_rounds(longer.pipeline.stages[-1], 2)
-    data = longer.pipeline.stages[1].transform(
-        longer.pipeline.stages[0].transform(residual._with_series_code(matrix, ("category",), None))
-    )
+    coded = residual._with_series_code(matrix.withColumn("_fold", F.lit(-1)), ("category",), longer.encoding)
+    data = longer.pipeline.stages[0].transform(coded)
     a = [r[0] for r in cut.transform(data).select("prediction").collect()]
     b = [r[0] for r in shorter.pipeline.stages[-1].transform(data).select("prediction").collect()]
     assert a == b and cut.getNumTrees == 2

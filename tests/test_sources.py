@@ -29,6 +29,14 @@ def test_params_round_trip(spark, tmp_path):
     params = {"rounds": 50.0, "learning_rate": 0.1}
     panels.save_params(spark, params, str(tmp_path / "p"))
     assert panels.load_params(spark, str(tmp_path / "p")) == params
+    assert panels.load_params(spark, str(tmp_path / "absent")) is None
+
+
+def test_damaged_csv_is_an_error(spark, tmp_path):
+    head = "date,sku_id,category,sales,instock_rate,high_impact_promo,final_sku_price"
+    (tmp_path / "x.csv").write_text(f"{head}\n2020-01-02,a,A,oops,1.0,0,2.0\n")
+    with pytest.raises(Exception, match="oops|MALFORMED"):
+        panels.read_sku_day(spark, str(tmp_path / "x.csv"), "csv").collect()
 
 
 class _Context:
