@@ -11,7 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 17
+#: Rows of an Arrow batch that are unpacked at once.
+PART_ROWS = 256
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -81,6 +83,13 @@ class Block:
         return total[self.ends] - total[self.starts]
 
 
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of few rows, which bounds what a task unpacks at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; a missing text is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.llm import linear
-from saleslane.llm.blocks import Block, RangeHash, blocks, texts_of
+from saleslane.llm.blocks import Block, RangeHash, blocks, in_parts, texts_of
 from saleslane.plans.durable import durable
 
 UNKNOWN = "unknown"
@@ -129,7 +129,7 @@ def variants(config: LicenseConfig) -> list[tuple[str, str]]:
 
 def _featurise(config: LicenseConfig):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(_lowered(texts_of(batch.column("text")))):
                 n = len(block.starts)
                 grams = _grams(block, block.starts, config)
@@ -173,7 +173,7 @@ def find(docs: DataFrame, model: LicenseModel, config: LicenseConfig = LicenseCo
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(_lowered(texts_of(batch.column("text")))):
                 start, end, doc = _lines(block)
                 n = len(start)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslane.llm import linear
-from saleslane.llm.blocks import Block, RangeHash, blocks, mix, texts_of
+from saleslane.llm.blocks import Block, RangeHash, blocks, in_parts, mix, texts_of
 from saleslane.plans.durable import durable
 
 
@@ -110,7 +110,7 @@ def _kinds(block: Block, config: QualityConfig) -> list[tuple[np.ndarray, np.nda
 
 def _featurise(config: QualityConfig):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(texts_of(batch.column("text"))):
                 n = len(block.starts)
                 own = batch.slice(block.first, n)
@@ -187,7 +187,7 @@ def keep(docs: DataFrame, model: QualityModel | None, config: QualityConfig = Qu
     """The rows of docs that are kept, with all their columns."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(texts_of(batch.column("text"))):
                 kept = _judge_block(block, model, config)[2]
                 yield batch.slice(block.first, len(block.starts)).filter(pa.array(kept))
@@ -199,7 +199,7 @@ def score(docs: DataFrame, model: QualityModel | None, config: QualityConfig = Q
     """Per row: doc_id, the base counts, base_failed, kept and the calibrated probability."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(texts_of(batch.column("text"))):
                 n = len(block.starts)
                 base, failed, kept, chance = _judge_block(block, model, config)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.llm.blocks import texts_of
+from saleslane.llm.blocks import in_parts, texts_of
 from saleslane.llm.components import components
 from saleslane.plans.durable import durable
 
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, th, fp) per row: a hash of the text, and the 64 bits as a signed number."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             found = np.array([fingerprint(t, shingle) for t in texts_of(batch.column("text"))], dtype="<u8")
             columns = [batch.column("doc_id"), batch.column("th"), pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "fp"])

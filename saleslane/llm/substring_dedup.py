@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.llm.blocks import Block, RangeHash, blocks, mix, texts_of
+from saleslane.llm.blocks import Block, RangeHash, blocks, in_parts, mix, texts_of
 from saleslane.plans.durable import durable
 
 GRAM = 8
@@ -112,7 +112,7 @@ def _sampler(length: int):
     sure = length - reach_of(length) + 1
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = texts_of(batch.column("text"))
             did, th = (batch.column(c).to_numpy() for c in ("did", "th"))
             long = [i for i, t in enumerate(texts) if len(t) > SLICE_BYTES]
@@ -174,7 +174,7 @@ def _cells(length: int, width: int):
     """Ranges of offsets of each sample: the core's hash and the edges around it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = {c: [] for c in ("name", "lo", "core", "n", "rep", "a", "b", "left", "right")}
             for text, found in zip(texts_of(batch.column("text")), batch.column("found").to_pylist(), strict=True):
                 for x in found:
@@ -291,7 +291,7 @@ def merge_spans(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         texts = texts_of(batch.column("text"))
         rows = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
         for text, starts, ends in zip(texts, batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), strict=True):

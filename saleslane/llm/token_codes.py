@@ -44,7 +44,7 @@ CHUNK_BITS = 8
 RANK_EVERY = 512
 SEGMENT_IDS = 1 << 18
 #: Words whose ids a task remembers at once; beyond this the memory starts anew.
-REMEMBERED_WORDS = 700_000
+REMEMBERED_WORDS = 300_000
 #: Marks that the splitting pattern keeps in one run after a letter or digit.
 _MARKS = ".,!?;:*$%&#|"
 #: Fixed values of byte-level vocabularies: printable bytes stand for themselves, the others are

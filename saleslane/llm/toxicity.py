@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslane.llm import linear
-from saleslane.llm.blocks import Block, RangeHash, blocks, mix, texts_of
+from saleslane.llm.blocks import Block, RangeHash, blocks, in_parts, mix, texts_of
 from saleslane.plans.durable import durable
 
 
@@ -174,7 +174,7 @@ def _sample(docs: DataFrame, labels: DataFrame, config: ToxicityConfig) -> tuple
 
 def _rows_per_term(config: ToxicityConfig):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             label = batch.column("label").to_numpy()
             for block in blocks(_lowered(batch.column("text"))):
                 found, doc = terms(block, config.prefixes)
@@ -219,7 +219,7 @@ def _document_frequencies(docs: DataFrame, known: np.ndarray, config: ToxicityCo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, total, rows = Vocabulary(known), np.zeros(len(known), dtype=np.int64), 0
-        for batch in batches:
+        for batch in in_parts(batches):
             rows += batch.num_rows
             for block in blocks(_lowered(batch.column("text"))):
                 total += np.bincount(vocabulary.count(block, config.prefixes)[1], minlength=len(known))
@@ -235,7 +235,7 @@ def _entries(sample: DataFrame, known: np.ndarray, config: ToxicityConfig) -> li
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(known)
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(_lowered(batch.column("text"))):
                 n = len(block.starts)
                 doc, term, times = vocabulary.count(block, config.prefixes)
@@ -306,7 +306,7 @@ def score(docs: DataFrame, model: ToxicityModel, config: ToxicityConfig = Toxici
         m = shared.value
         vocabulary = Vocabulary(m.known)
         index = Index(len(m.ids), len(m.known), config.block, *m.entries)
-        for batch in batches:
+        for batch in in_parts(batches):
             for block in blocks(_lowered(batch.column("text"))):
                 n = len(block.starts)
                 scores = np.full(n, m.blank)
