@@ -31,7 +31,8 @@ from saleslane.plans.durable import durable
 SHINGLE = 5
 #: Shingles of the benchmark (about 40 bytes each) up to which they are broadcast.
 BROADCAST_ROWS = 500_000
-_LANE_BITS = 16
+#: A lane counts set bits of one place; 32 bits hold the shingles of any text.
+_LANE_BITS = 32
 _LANES = sum(1 << s for s in range(0, 64, _LANE_BITS))
 _MISSING = -(1 << 63)
 
@@ -49,7 +50,7 @@ def _shingled(df: DataFrame, keep: list[str], size: int) -> DataFrame:
 
 
 def _fingerprints(shingles: DataFrame, key: list[str]) -> DataFrame:
-    """(key, fp, m): majority bits of the m hashes of a key, counted in lanes of 16 bits."""
+    """(key, fp, m): majority bits of the m hashes of a key, counted in two lanes of 32 bits."""
     sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(_LANES))).alias(f"s{b}") for b in range(_LANE_BITS)]
     counted = shingles.groupBy(*key).agg(F.count("*").alias("m"), *sums)
     bits = [
