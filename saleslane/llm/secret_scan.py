@@ -1,6 +1,6 @@
 """Secret scans: candidates by form, then a random forest that removes false positives.
 
-A candidate is a run of 16 or more letters, digits or ``+/_-`` with a digit inside a word.  Its
+A candidate is a run of 16 or more letters, digits or ``+/_-`` with a digit inside a word; a word may hold several.  Its
 features are length, counts of character classes, changes between classes, distinct characters,
 the share of its letters in dictionary words, what its path looks like, and the words next to it.
 The forest is trained on labelled findings.  Everything is DataFrame operations and Spark ML on the
@@ -52,7 +52,10 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """(doc_id, path, word, candidate, before, after, text_word): word is the place among the words."""
+    """(doc_id, path, word, part, candidate, before, after, text_word).
+
+    ``word`` is the place among the words of the text, ``part`` the place among the runs of the word.
+    """
     words = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
     split = docs.select("doc_id", F.col(path).cast("string").alias("path"), words.alias("w2"))
     # Four shifted copies of the words: two before, the word itself, one after.
@@ -63,18 +66,15 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     )
     zipped = shifted.select("doc_id", "path", F.posexplode(F.arrays_zip("b2", "b1", "w", "a1")).alias("word", "z"))
     long = zipped.filter((F.length("z.w") >= 16) & F.col("z.w").rlike("[0-9]"))
-    return (
-        long.select(
-            "doc_id",
-            "path",
-            "word",
-            F.regexp_extract("z.w", CANDIDATE, 0).alias("candidate"),
-            F.concat_ws(" ", "z.b2", "z.b1").alias("before"),
-            F.coalesce("z.a1", F.lit("")).alias("after"),
-            F.col("z.w").alias("text_word"),
-        )
-        .filter(F.col("candidate").rlike("[0-9]"))
-    )
+    return long.select(
+        "doc_id",
+        "path",
+        "word",
+        F.posexplode(F.regexp_extract_all("z.w", F.lit(CANDIDATE), F.lit(0))).alias("part", "candidate"),
+        F.concat_ws(" ", "z.b2", "z.b1").alias("before"),
+        F.coalesce("z.a1", F.lit("")).alias("after"),
+        F.col("z.w").alias("text_word"),
+    ).filter(F.col("candidate").rlike("[0-9]"))
 
 
 def dictionary(docs: DataFrame, min_count: int) -> DataFrame:
@@ -128,22 +128,25 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None, config: SecretConfig = SecretConfig(), path: str = "source") -> DataFrame:
-    """Findings (doc_id, word, length, sha256, score, found); ``labelled`` has candidate hashes and labels.
+    """Findings (doc_id, word, part, length, sha256, score, found).
 
-    ``labelled`` rows are (doc_id, word, label): the finding at that place is a secret (1) or not (0).
+    ``labelled`` rows are (doc_id, word, part, label): the finding at that place is a secret (1) or
+    not (0).  Without the column ``part`` a label holds for all findings of the word.
     """
     known = durable(with_features(candidates(docs, path), dictionary(docs, config.min_count)))
     result = [
         "doc_id",
         "word",
+        "part",
         F.col("length").cast("int").alias("length"),
         F.sha2("candidate", 256).alias("sha256"),
     ]
     model = None
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     if labelled is not None:
-        label = labelled.filter(F.col("label").isin(0, 1)).groupBy("doc_id", "word").agg(F.max("label").cast("double").alias("label"))
-        rows = known.join(label, ["doc_id", "word"]).select(*FEATURES, "label", F.xxhash64("doc_id", "word", "candidate").alias("h"))
+        place = ["doc_id", "word", *(["part"] if "part" in labelled.columns else [])]
+        label = labelled.filter(F.col("label").isin(0, 1)).groupBy(*place).agg(F.max("label").cast("double").alias("label"))
+        rows = known.join(label, place).select(*FEATURES, "label", F.xxhash64("doc_id", "word", "part", "candidate").alias("h"))
         parts = [rows.filter(F.col("label") == c).orderBy("h").limit(config.train_rows) for c in (0, 1)]
         train = durable(parts[0].union(parts[1]))
         if len(train.select("label").distinct().collect()) == 2:
@@ -157,7 +160,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None, config: SecretConfig = Sec
 
 
 def rule_labels(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Labelled findings (doc_id, word, label) by a plain rule, where nobody has labelled any.
+    """Labelled findings (doc_id, word, part, label) by a plain rule, where nobody has labelled any.
 
     Assigned after a telling word, quoted, 32 or more characters with letters and digits: a secret.
     Digits only, or neither assigned nor quoted: none.  Others stay unlabelled.
@@ -166,4 +169,4 @@ def rule_labels(docs: DataFrame, path: str = "source") -> DataFrame:
     assigned = F.col("before").rlike(r"[=:]\s*$") | F.col("text_word").rlike("[=:]")
     secret = assigned & F.col("before").rlike(FOR) & (F.length("candidate") >= 32) & F.col("candidate").rlike("[A-Za-z]")
     other = F.col("candidate").rlike("^[0-9]+$") | ~(assigned | F.col("text_word").rlike("[\"'`]"))
-    return found.select("doc_id", "word", F.when(secret, 1).when(other, 0).alias("label"))
+    return found.select("doc_id", "word", "part", F.when(secret, 1).when(other, 0).alias("label"))

@@ -35,15 +35,15 @@ def test_forest_keeps_secrets_and_drops_the_rest(spark):
 
 
 def test_candidates_match_brute_force(spark):
-    texts = [None, "", "a1" * 8, "x" * 20, "k=" + "a1" * 9 + " b", "é " + "1" * 15 + "\n" + "1" * 16, ("q9" * 9 + " ") * 3, "z" * 60000 + "1"]
+    texts = [None, "", "a1" * 8, "x" * 20, "k=" + "a1" * 9 + " b", "é " + "1" * 15 + "\n" + "1" * 16, ("q9" * 9 + " ") * 3, "z" * 60000 + "1", "b2" * 9 + ":" + "y" * 17 + "=c3" + "d" * 20 + "."]
     docs = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)] + [(None, "a1" * 8, None)] * 2, SCHEMA)
     want = []
     for i, t in [*enumerate(texts), (None, "a1" * 8), (None, "a1" * 8)]:
         for n, w in enumerate(re.split("[\x20\x09-\x0d]+", t or "")):
-            m = re.search(op.CANDIDATE, w)
-            if m and re.search("[0-9]", m.group()):
-                want.append((i, n, m.group()))
-    got = [(r.doc_id, r.word, r.candidate) for r in op.candidates(docs).collect()]
+            for k, m in enumerate(re.findall(op.CANDIDATE, w)):
+                if re.search("[0-9]", m):
+                    want.append((i, n, k, m))
+    got = [(r.doc_id, r.word, r.part, r.candidate) for r in op.candidates(docs).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
