@@ -81,3 +81,11 @@ def test_empty_tables(spark):
     assert op.leaks(some, spark.createDataFrame([], ITEMS)).count() == 0
     assert op.decontaminate(some, spark.createDataFrame([], ITEMS)).count() == 1
     assert op.decontaminate(some, bench).count() == 0
+
+
+def test_fingerprint_of_very_many_shingles(spark):
+    shingles = spark.range(150_000).selectExpr("1 as k", "xxhash64(id) as h")
+    hashes = [r.h % (1 << 64) for r in shingles.collect()]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    row = op._fingerprints(shingles, ["k"]).first()
+    assert (row.m, row.fp % (1 << 64)) == (len(hashes), want)
