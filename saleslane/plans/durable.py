@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -24,13 +25,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """The frame written once as a table in the checkpoint folder and read back from there.
 
     Unlike ``checkpoint()``, which runs an uncached plan twice, this runs it once, and what
-    comes back is a columnar scan that later steps prune and filter.
+    comes back is a columnar scan that later steps prune and filter.  ``schema`` reads stored
+    structs as the user-defined types that share their layout.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
