@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from saleslane.llm import linear
 from saleslane.llm.blocks import Block, RangeHash, blocks, in_parts, texts_of
-from saleslane.plans.durable import durable
 
 UNKNOWN = "unknown"
 #: Short notices as licences and their stewards word them.
@@ -134,7 +133,7 @@ def _featurise(config: LicenseConfig):
                 n = len(block.starts)
                 grams = _grams(block, block.starts, config)
                 own = batch.slice(block.first, n)
-                yield linear.feature_batch([own.column("label")], ["label"], linear.sparse_rows([grams], n, config.dims))
+                yield linear.feature_batch([own.column("label")], ["label"], linear.sparse_rows([grams], n, config.dims), config.dims)
 
     return features
 
@@ -147,15 +146,15 @@ def train(spark: SparkSession, docs: DataFrame, config: LicenseConfig = LicenseC
     plain = plain.orderBy(F.xxhash64("text"), "text").limit(config.unknown_rows)
     rows = spark.createDataFrame(known, "label int, text string").union(plain.select(F.lit(0).alias("label"), "text"))
     rows = rows.filter(~F.col("text").contains("\n"))
-    schema = "label int, numbers array<int>, values array<double>"
-    held_row = F.pmod(F.xxhash64("label", "numbers"), F.lit(4)) == 0
-    featured = durable(rows.mapInArrow(_featurise(config), schema).withColumn("weight", F.lit(1.0)).withColumn("held", held_row))
+    schema = f"label int, features {linear.VECTOR}"
+    held_row = F.pmod(F.xxhash64("label", "features.indices"), F.lit(4)) == 0
+    featured = linear.stored(rows.mapInArrow(_featurise(config), schema).withColumn("weight", F.lit(1.0)).withColumn("held", held_row))
     model = linear.fit(featured.filter("not held"), config.dims, config.reg, family="multinomial")
     weights, bias = np.zeros((len(FAMILIES), config.dims)), np.full(len(FAMILIES), -30.0)
     fitted = model.coefficientMatrix.toArray()
     weights[: len(fitted)], bias[: len(fitted)] = fitted, model.interceptVector.toArray()
-    held = featured.filter("held").select("label", "numbers", "values").collect()
-    margins = np.array([weights[:, r["numbers"]] @ np.array(r["values"]) + bias for r in held]).reshape(len(held), len(FAMILIES))
+    held = featured.filter("held").select("label", "features").collect()
+    margins = np.array([weights[:, r["features"].indices] @ r["features"].values + bias for r in held]).reshape(len(held), len(FAMILIES))
     truth = np.array([r["label"] for r in held], dtype=int)
 
     def loss(heat: float) -> float:

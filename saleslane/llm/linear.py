@@ -7,11 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleslane.llm.blocks import Block, RangeHash, mix
+from saleslane.plans.durable import durable
 
 #: Weight of one text's n-grams of a kind together; single n-grams get their share of it.
 SCALE = 30.0
@@ -69,7 +71,7 @@ def margins(kinds: list[tuple[np.ndarray, np.ndarray]], n_docs: int, weights: np
     return total
 
 
-def sparse_rows(kinds: list[tuple[np.ndarray, np.ndarray]], n_docs: int, dims: int) -> list[tuple[list[int], list[float]]]:
+def sparse_rows(kinds: list[tuple[np.ndarray, np.ndarray]], n_docs: int, dims: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Each document's feature numbers, ascending, and values."""
     keys, values = [], []
     for numbers, docs, value in shares(kinds, n_docs):
@@ -78,22 +80,30 @@ def sparse_rows(kinds: list[tuple[np.ndarray, np.ndarray]], n_docs: int, dims: i
     found, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, weights=np.concatenate(values), minlength=len(found))
     cut = np.searchsorted(found, np.arange(n_docs + 1) * dims)
-    return [((found[a:b] % dims).tolist(), total[a:b].tolist()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return [((found[a:b] % dims).astype(np.int32), total[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def feature_batch(keep: list[pa.Array], names: list[str], rows: list[tuple[list[int], list[float]]]) -> pa.RecordBatch:
-    arrays = [
-        *keep,
-        pa.array([r[0] for r in rows], pa.list_(pa.int32())),
-        pa.array([r[1] for r in rows], pa.list_(pa.float64())),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, names=[*names, "numbers", "values"])
+#: A sparse vector as its type stores it, so that a stored table can be read as vectors.
+VECTOR = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+_ARROW_VECTOR = [pa.int8(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64())]
+
+
+def feature_batch(keep: list[pa.Array], names: list[str], rows: list[tuple[np.ndarray, np.ndarray]], dims: int) -> pa.RecordBatch:
+    parts = ([0] * len(rows), [dims] * len(rows), [r[0] for r in rows], [r[1] for r in rows])
+    arrays = [pa.array(x, kind) for x, kind in zip(parts, _ARROW_VECTOR, strict=True)]
+    features = pa.StructArray.from_arrays(arrays, names=["type", "size", "indices", "values"])
+    return pa.RecordBatch.from_arrays([*keep, features], names=[*names, "features"])
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """Rows written once and read back with ``features`` as vectors, without a Python function."""
+    kinds = [T.StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in rows.schema]
+    return durable(rows, T.StructType(kinds))
 
 
 def fit(rows: DataFrame, dims: int, reg: float, rounds: int = 60, family: str = "binomial") -> LogisticRegressionModel:
-    """Spark's logistic regression over rows (numbers, values, label, weight)."""
-    vector = F.udf(lambda n, v: Vectors.sparse(dims, n, v), VectorUDT())
-    data = rows.select(vector("numbers", "values").alias("features"), F.col("label").cast("double"), "weight")
+    """Spark's logistic regression over rows (features, label, weight)."""
+    data = rows.select("features", F.col("label").cast("double"), "weight")
     return LogisticRegression(
         regParam=reg, maxIter=rounds, standardization=False, weightCol="weight", family=family
     ).fit(data)

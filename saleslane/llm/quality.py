@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +116,7 @@ def _featurise(config: QualityConfig):
                 n = len(block.starts)
                 own = batch.slice(block.first, n)
                 rows = linear.sparse_rows(_kinds(block, config), n, config.dims)
-                yield linear.feature_batch([own.column("label"), own.column("fold")], ["label", "fold"], rows)
+                yield linear.feature_batch([own.column("label"), own.column("fold")], ["label", "fold"], rows, config.dims)
 
     return features
 
@@ -148,19 +149,15 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityCon
     texts, number = training_rows(docs, labels, "quality", config.rows_per_class, config.folds)
     if len(number) < 2:
         return None
-    schema = "label int, fold int, numbers array<int>, values array<double>"
-    rows = durable(texts.mapInArrow(_featurise(config), schema).withColumn("weight", F.lit(1.0)))
+    schema = f"label int, fold int, features {linear.VECTOR}"
+    rows = linear.stored(texts.mapInArrow(_featurise(config), schema).withColumn("weight", F.lit(1.0)))
     fitted = [x["label"] for x in rows.filter("fold > 0").select("label").distinct().collect()]
     if len(fitted) < 2:
         return None
     model = linear.fit(rows.filter("fold > 0"), config.dims, config.reg)
     weights, bias = model.coefficients.toArray(), float(model.intercept)
-    held = rows.filter("fold = 0").select(
-        "label",
-        F.udf(lambda n, v: float(bias + sum(weights[i] * x for i, x in zip(n, v, strict=True))), "double")(
-            "numbers", "values"
-        ).alias("margin"),
-    ).toPandas()
+    margin = vector_to_array("rawPrediction")[1].alias("margin")
+    held = model.transform(rows.filter("fold = 0").select("features", "label")).select("label", margin).toPandas()
     label, margin = held["label"].to_numpy(float), held["margin"].to_numpy(float)
     seen = np.bincount(label.astype(int), minlength=2)
     if seen.min() == 0:
