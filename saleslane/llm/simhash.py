@@ -224,7 +224,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 
 def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row of each component, with all its columns: smallest doc_id (nulls last), then text hash."""
-    rows = _grouped(docs, shingle, radius).groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
+    return first_of_groups(docs, _grouped(docs, shingle, radius))
+
+
+def first_of_groups(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each root in ``grouped``, which has doc_id, th and root of every row."""
+    rows = grouped.groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th", "n")).alias("best")
     first = durable(rows.groupBy("root").agg(best).select(F.col("best.doc_id").alias("kept_id"), "best.th", "best.n"))
 
