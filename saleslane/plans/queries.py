@@ -51,8 +51,8 @@ SMALL_GRID = EtsConfig(
     refine=False,
 )
 LAST = SplitConfig(train=None, val=30, test=30, anchor="end")
-BOOST = BoostConfig(rounds=8, learning_rate=0.3, max_depth=4, patience=3)
-NO_TUNING = TuningConfig(enabled=False)
+BOOST = BoostConfig()
+TUNING = TuningConfig()
 HORIZON = 30
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,7 +161,7 @@ def weather_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run(spark: SparkSession, sf: str) -> Run:
-    config = PipelineConfig(split=LAST, boost=BOOST, tuning=NO_TUNING)
+    config = PipelineConfig(split=LAST, boost=BOOST, tuning=TUNING)
     return run_pipeline(sku_day(spark, sf), exog(spark, sf), config)
 
 
@@ -448,9 +448,7 @@ def top_features(spark, sf):
 
 
 def tuning_trials(spark, sf):
-    space = {**tuning.SPACE, "max_depth": ("int", 2, 4), "rounds": ("int", 2, 4)}
-    config = TuningConfig(trials=2, folds=2, anchor="end")
-    return tuning.tune(training_matrix(spark, sf), config, space, BOOST)
+    return tuning.tune(training_matrix(spark, sf), TUNING, tuning.SPACE, BOOST)
 
 
 def hybrid_forecast(spark, sf):
