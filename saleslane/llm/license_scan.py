@@ -1,14 +1,16 @@
 """Licence scans: a paragraph classifier over word n-grams, confirmed by comparison with templates.
 
-A paragraph is a line.  Its word n-grams (1, 2; lower-cased runs of letters, digits and dots) are
+Each line is judged; then each run of neighbouring non-blank lines (a paragraph) for notices that are
+wrapped over several of them.  The word n-grams (1, 2; lower-cased runs of letters, digits and dots) are
 hashed into a sparse vector; a multinomial logistic regression names the licence family or
 ``unknown``.  It is trained on variants of the families' notices and on paragraphs of the corpus as
 unknown.  Probabilities are calibrated by a temperature fitted on rows kept out of training.  A
 family is reported if its probability reaches a threshold and the paragraph holds enough of the word
 pairs of one of the family's notices.
 
-Fit bound: ``unknown_rows`` paragraphs of the corpus (those with the smallest hash) and a fixed
-number of variants per notice train the model.  Every paragraph of every text is classified.
+Fit bound: ``unknown_rows`` distinct lines of the corpus (those with the smallest hash) and a fixed
+number of variants per notice train the model.  Every line of every text is classified.  A wrapped
+notice spans twice its words at most, over any number of lines; it is named by its first line.
 
 Cases: null and empty texts have no paragraphs.  Equal paragraphs of a text are findings each.
 Repeated rows give repeated findings; a null doc_id is kept.  Extra columns are ignored.  An empty
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.llm import linear
-from saleslane.llm.blocks import Block, RangeHash, blocks, in_parts, texts_of
+from saleslane.llm.blocks import SPACE, Block, RangeHash, blocks, in_parts, mix, texts_of
 
 UNKNOWN = "unknown"
 #: Short notices as licences and their stewards word them.
@@ -42,6 +44,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by-4.0": ("Licensed under CC BY 4.0.", "Licensed under a Creative Commons Attribution 4.0 International License."),
     "bsd": ("Released under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
+    "all-rights-reserved": ("All rights reserved.",),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
 FAMILIES = (UNKNOWN, *NOTICES)
@@ -77,14 +80,23 @@ def _lines(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, np.searchsorted(block.starts, start, side="right") - 1
 
 
-def _grams(block: Block, start: np.ndarray, config: LicenseConfig) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and lines of the word n-grams of a block of lower-cased text."""
+def _hashed_words(block: Block, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, hash and line of every word of a block of lower-cased text."""
     inside = np.zeros(len(block.data) + 2, dtype=np.int8)
     inside[1:-1] = _INSIDE[block.data]
     edge = np.diff(inside)
     first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    line = np.searchsorted(start, first, side="right") - 1
-    return linear.word_grams(RangeHash(block.data).of(first, last), line, config.orders, config.dims)
+    return first, last, RangeHash(block.data).of(first, last), np.searchsorted(start, first, side="right") - 1
+
+
+def _grams(block: Block, start: np.ndarray, config: LicenseConfig) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers and lines of the word n-grams of a block of lower-cased text."""
+    _, _, words, line = _hashed_words(block, start)
+    return linear.word_grams(words, line, config.orders, config.dims)
+
+
+def _pair_keys(words: np.ndarray) -> np.ndarray:
+    return mix(mix(words[:-1]) + words[1:])
 
 
 def _lowered(texts: list[bytes]) -> list[bytes]:
@@ -105,10 +117,59 @@ def coverage(text: str, family: str) -> float:
     return max(len(p & held) / len(p) for p in _PAIRS[family])
 
 
+def _notice_keys() -> list[tuple[str, np.ndarray, int]]:
+    """(family, hashed word pairs, words) of every notice."""
+    out = []
+    for family, notices in NOTICES.items():
+        for notice in notices:
+            block = Block([" ".join(_words(notice)).encode()])
+            words = _hashed_words(block, block.starts)[2]
+            out.append((family, np.unique(_pair_keys(words)), len(words)))
+    return out
+
+
+_NOTICE_KEYS = _notice_keys()
+_ALL_KEYS = np.unique(np.concatenate([k for _, k, _ in _NOTICE_KEYS]))
+
+
+def _wrapped(block: Block, start: np.ndarray, end: np.ndarray, doc: np.ndarray, found: np.ndarray, least: float) -> list[tuple[int, str, bytes]]:
+    """(first line, family, text) of stretches over several lines that hold enough of a notice's word pairs.
+
+    A paragraph ends at a blank line, at the text's end and at a line that is a finding itself.
+    """
+    full = np.concatenate([[0], np.cumsum(~SPACE[block.data])])
+    stop = full[end] == full[start]
+    stop[found] = True
+    paragraph = np.cumsum(stop | np.concatenate([[True], np.diff(doc) != 0]) | np.concatenate([[False], stop[:-1]]))
+    first, last, words, line = _hashed_words(block, start)
+    keys = _pair_keys(words) if len(words) > 1 else np.empty(0, np.uint64)
+    at = np.flatnonzero(np.isin(keys, _ALL_KEYS))
+    at = at[(paragraph[line[at]] == paragraph[line[at + 1]]) & ~stop[line[at]]]
+    out = []
+    for family, own, size in _NOTICE_KEYS:
+        places = at[np.isin(keys[at], own)].tolist()
+        i = 0
+        while i < len(places):
+            held: set[int] = set()
+            j = i
+            while j < len(places) and places[j] + 2 - places[i] <= 2 * size and paragraph[line[places[j]]] == paragraph[line[places[i]]]:
+                held.add(int(keys[places[j]]))
+                j += 1
+                if len(held) == len(own):
+                    break
+            a, b = places[i], places[j - 1] + 1
+            if len(held) >= least * len(own) and line[a] != line[b]:
+                out.append((int(line[a]), family, block.data[first[a] : last[b]].tobytes().replace(b"\n", b" ")))
+                i = j
+            else:
+                i += 1
+    return out
+
+
 def variants(config: LicenseConfig) -> list[tuple[str, str]]:
     """(family, text): each notice as it is, in other cases, with words left out or put around it."""
     rng, out = random.Random(config.seed), []
-    around = "this file code see terms for the and of project copyright holder all rights reserved".split()
+    around = "this file code see terms for the and of project copyright holder".split()
     for family, notices in NOTICES.items():
         for notice in notices:
             for i in range(config.variants):
@@ -141,8 +202,11 @@ def _featurise(config: LicenseConfig):
 def train(spark: SparkSession, docs: DataFrame, config: LicenseConfig = LicenseConfig()) -> LicenseModel:
     known = [(FAMILIES.index(f), t) for f, t in variants(config)]
     lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("text"))
-    pattern = r"(?i)licen[cs]e|copyright|permission|redistribut|public domain"
+    pattern = r"(?i)licen[cs]e|copyright|permission|redistribut|public domain|rights\s+reserved"
     plain = lines.filter((F.length("text") > 0) & ~F.col("text").rlike(pattern))
+    # The hashes are made distinct first, so that only the sample's lines are shuffled.
+    hashes = plain.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(config.unknown_rows)
+    plain = plain.filter(F.xxhash64("text") <= F.lit(hashes.agg(F.max("h")).first()[0])).distinct()
     plain = plain.orderBy(F.xxhash64("text"), "text").limit(config.unknown_rows)
     rows = spark.createDataFrame(known, "label int, text string").union(plain.select(F.lit(0).alias("label"), "text"))
     rows = rows.filter(~F.col("text").contains("\n"))
@@ -170,28 +234,38 @@ def find(docs: DataFrame, model: LicenseModel, config: LicenseConfig = LicenseCo
     """Findings (doc_id, paragraph, family, probability, coverage); paragraph is the line's number."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # families x dims
 
+    def judge(m: LicenseModel, block: Block, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The family of each line, the lines that are not unknown, and their probabilities."""
+        n = len(start)
+        numbers, line = _grams(block, start, config)
+        share = linear.SCALE * len(config.orders) / np.maximum(np.bincount(line, minlength=n), 1) / len(config.orders)
+        scores = np.array([np.bincount(line, weights=w[numbers], minlength=n) * share + b for w, b in zip(m.weights, m.bias, strict=True)])
+        best = scores.argmax(axis=0)
+        some = np.flatnonzero(best > 0)
+        x = scores[:, some] / m.heat
+        return best, some, 1 / np.exp(x - x[best[some], np.arange(len(some))]).sum(axis=0)
+
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in in_parts(batches):
             for block in blocks(_lowered(texts_of(batch.column("text")))):
                 start, end, doc = _lines(block)
                 n = len(start)
-                numbers, line = _grams(block, start, config)
-                share = linear.SCALE * len(config.orders) / np.maximum(np.bincount(line, minlength=n), 1) / len(config.orders)
-                scores = np.array([np.bincount(line, weights=w[numbers], minlength=n) * share + b for w, b in zip(m.weights, m.bias, strict=True)])
-                best = scores.argmax(axis=0)
-                some = np.flatnonzero(best > 0)
-                if not len(some):
-                    continue
-                x = scores[:, some] / m.heat
-                chance = 1 / np.exp(x - x[best[some], np.arange(len(some))]).sum(axis=0)
+                best, some, chance = judge(m, block, start)
                 number = np.arange(n) - np.searchsorted(start, block.starts)[doc]
-                rows = []
+                rows, found = [], []
                 for i, p in zip(some[chance >= config.threshold].tolist(), chance[chance >= config.threshold].tolist(), strict=True):
                     family = FAMILIES[best[i]]
                     held = coverage(block.data[start[i] : end[i]].tobytes().decode(), family)
                     if held >= config.coverage:
                         rows.append((block.first + doc[i], int(number[i]), family, p, held))
+                        found.append(i)
+                for i, family, text in _wrapped(block, start, end, doc, np.array(found, dtype=np.int64), config.coverage):
+                    one = Block([text])
+                    of, _, p = judge(m, one, one.starts)
+                    held = coverage(text.decode(), family)
+                    if FAMILIES[of[0]] == family and p[0] >= config.threshold and held >= config.coverage:
+                        rows.append((block.first + doc[i], int(number[i]), family, float(p[0]), held))
                 if rows:
                     place, lines, families, chances, shares = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(

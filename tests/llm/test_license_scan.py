@@ -40,3 +40,27 @@ def test_empty_table(spark):
 def test_coverage_compares_word_pairs():
     assert op.coverage("released UNDER the mit license", "mit") == 1
     assert op.coverage("the mit", "mit") == 0.25
+
+
+def test_reserved_rights_and_wrapped_notices_are_found(spark):
+    gpl, mit = op.NOTICES["gpl-3.0"][1].split(), op.NOTICES["mit"][1].split()
+    rows = corpus()[0]
+    rows += [
+        (800, "erst thon of\nAll rights reserved.\nund there"),
+        (801, "of the\n\n" + "\n".join(" ".join(gpl[i : i + 8]) for i in range(0, len(gpl), 8)) + "\n\nund of"),
+        (802, "\n".join(mit)),
+        (803, " ".join(gpl[:8]) + "\n\n" + " ".join(gpl[8:14])),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = op.find(docs, op.train(spark, docs)).filter("doc_id >= 800").collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in got) == [(800, 1, "all-rights-reserved"), (801, 2, "gpl-3.0"), (802, 0, "mit")]
+
+
+def test_a_frequent_line_counts_once_in_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "\n".join(["erst thon"] * 50 + [f"ande {i}"])) for i in range(20)], SCHEMA)
+    seen = []
+    stored = op.linear.stored
+    monkeypatch.setattr(op.linear, "stored", lambda rows: seen.append(stored(rows)) or seen[-1])
+    op.train(spark, docs)
+    known = len(op.variants(op.LicenseConfig()))
+    assert seen[0].count() == known + 21
