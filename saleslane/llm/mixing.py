@@ -8,7 +8,9 @@ taken if a hash of its id and text, read as a number in [0, 1), is below its cha
 
 Targets: a margin lists shares by value.  Values that it doesn't list share what the listed ones
 leave, in proportion to their tokens to the power ``temper``.  Listed values that do not occur are
-ignored, and the shares of those that do are scaled to one.
+ignored, and the shares of those that do are scaled to one.  The default shares of languages leave a
+twentieth to unlisted and null ones; where none occurs, the listed shares are scaled to one.  If the
+sweeps end before all margins hold, a warning tells the largest remaining error.
 
 Only cells (one row per combination that occurs) take part in the fitting; documents are read once
 to count and once to sample, and meet their cell in a join that needs no shuffle while the cells are
@@ -16,12 +18,13 @@ small.
 
 Cases: nulls in source or lang are a value of their own.  A null or empty text has no tokens;
 its weight is 1.  Repeated rows (same id and text) are taken or left together; a null doc_id is
-treated like any other.  Extra columns are kept by ``mix`` and ignored by ``plan``.  An empty table
-gives no rows.  If the budget exceeds what the targets allow, every document with a weight is taken.
+treated like any other.  Extra columns of any name are kept by ``mix`` and ignored by ``plan``.  An empty
+table gives no rows.  If the budget exceeds what the targets allow, every document with a weight is taken.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -44,7 +47,7 @@ class MixConfig:
     margins: dict[str, Margin] = field(
         default_factory=lambda: {
             "source": Margin(temper=0.7),
-            "lang": Margin({"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}),
+            "lang": Margin({"en": 0.475, "de": 0.19, "fr": 0.19, "es": 0.095}),
             "topic": Margin(temper=0.8),
         }
     )
@@ -81,11 +84,13 @@ def _value(column: str) -> Column:
 
 
 def _with_cells(docs: DataFrame) -> DataFrame:
-    return (
-        docs.withColumn("mix_source", _value("source"))
-        .withColumn("mix_lang", _value("lang"))
-        .withColumn("mix_topic", topic_of(F.col("text")))
-        .withColumn("mix_tokens", tokens_of(F.col("text")))
+    """The documents as one column ``row``, so that no name of theirs meets the added columns."""
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        _value("source").alias("mix_source"),
+        _value("lang").alias("mix_lang"),
+        topic_of(F.col("text")).alias("mix_topic"),
+        tokens_of(F.col("text")).alias("mix_tokens"),
     )
 
 
@@ -122,6 +127,7 @@ def fit_cells(cells: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
         share = F.coalesce(F.col(f"t_{k}.listed"), left * F.sum(f"t_{k}.rest").over(value) / F.lit(rest or 1.0))
         state = state.withColumn(f"t_{k}", F.lit(float(sums["all"] or 0)) * share / F.lit(whole or 1.0))
     state = durable(state.withColumn("fitted", F.col("tokens").cast("double")))
+    largest = 0.0
     for _ in range(0, config.sweeps, config.block):
         for _ in range(config.block):
             for k in KEYS:
@@ -132,8 +138,11 @@ def fit_cells(cells: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
             state.groupBy(f"mix_{k}").agg((F.abs(F.sum("fitted") - F.first(f"t_{k}")) / F.greatest(F.first(f"t_{k}"), F.lit(1.0))).alias("e"))
             for k in KEYS
         ]
-        if (reduce(DataFrame.union, (e.select("e") for e in error)).agg(F.max("e")).first()[0] or 0.0) <= config.tolerance:
+        largest = reduce(DataFrame.union, (e.select("e") for e in error)).agg(F.max("e")).first()[0] or 0.0
+        if largest <= config.tolerance:
             break
+    else:
+        warnings.warn(f"after {config.sweeps} sweeps a margin is still off by {largest:.3g} of its target", stacklevel=2)
     return state.select(*keys, "tokens", "fitted")
 
 
@@ -153,7 +162,7 @@ def _factor(cells: DataFrame, budget: float) -> float | None:
 
 
 def _planned(docs: DataFrame, config: MixConfig) -> DataFrame:
-    """Rows of docs with the mix_ columns: cell, tokens, weight, chance and whether they are taken."""
+    """The documents as ``row`` with the mix_ columns: cell, tokens, weight, chance and whether they are taken."""
     keys = [f"mix_{k}" for k in KEYS]
     placed = _with_cells(docs)
     cells = durable(placed.groupBy(*keys).agg(F.sum("mix_tokens").alias("tokens")))
@@ -163,16 +172,16 @@ def _planned(docs: DataFrame, config: MixConfig) -> DataFrame:
     weights = durable(fitted.select(*keys, (F.col("fitted") / F.col("tokens")).alias("mix_weight")))
     joined = placed.join(weights, keys, "left").withColumn("mix_weight", F.coalesce("mix_weight", F.lit(1.0)))
     chance = F.when(F.col("mix_weight") > 0, 1.0).otherwise(0.0) if factor is None else F.least(F.lit(1.0), F.col("mix_weight") * factor)
-    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(config.seed)), 11) / F.lit(float(1 << 53))
+    place = F.shiftrightunsigned(F.xxhash64("row.doc_id", "row.text", F.lit(config.seed)), 11) / F.lit(float(1 << 53))
     return joined.withColumn("mix_chance", chance).withColumn("mix_taken", place < F.col("mix_chance"))
 
 
 def plan(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """Per row: doc_id, source, lang, topic, n_tokens, weight, chance, taken."""
     return _planned(docs.select("doc_id", "text", "lang", "source"), config).select(
-        "doc_id",
-        "source",
-        "lang",
+        "row.doc_id",
+        "row.source",
+        "row.lang",
         F.col("mix_topic").alias("topic"),
         F.col("mix_tokens").alias("n_tokens"),
         F.col("mix_weight").alias("weight"),
@@ -183,4 +192,4 @@ def plan(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 
 def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """The rows of docs that are taken, with all their columns."""
-    return _planned(docs, config).filter("mix_taken").select(*docs.columns)
+    return _planned(docs, config).filter("mix_taken").select("row.*")

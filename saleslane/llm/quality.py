@@ -9,7 +9,7 @@ Fit bound: at most ``QualityConfig.rows_per_class`` labelled rows of either clas
 smallest hash of their id) train and calibrate the model; the counts of labels cover all rows.
 
 Cases: a null text has no words; fewer than 50 words fail the rules.  Labels that are null are
-skipped; of differing labels for one id the lowest counts.  Without rows of both classes the rules
+skipped; of differing labels for one id the lowest counts, and of its differing texts one is fitted.  Without rows of both classes the rules
 decide alone and the probability is null.  Repeated rows are judged alike, one output row each.  A
 null doc_id is kept and never labelled.  Extra columns are ignored.  An empty table gives no rows.
 """
@@ -135,10 +135,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, name: str, per_class: int,
     ]
     number = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     picked = durable(picked[0].union(picked[1]))
+    # One text of an id with several: the one with the smallest hash, so the bound counts rows.
+    text = F.coalesce("text", F.lit(""))
     texts = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("order"))
         .join(picked, "doc_id")
-        .dropDuplicates(["doc_id", "text"])
+        .groupBy("doc_id", "label")
+        .agg(F.min_by("text", F.struct("order", "text")).alias("text"))
     )
     fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(folds)).cast("int")
     return texts.select("text", "label", fold.alias("fold")), number
@@ -157,8 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityCon
     model = linear.fit(rows.filter("fold > 0"), config.dims, config.reg)
     weights, bias = model.coefficients.toArray(), float(model.intercept)
     margin = vector_to_array("rawPrediction")[1].alias("margin")
-    held = model.transform(rows.filter("fold = 0").select("features", "label")).select("label", margin).toPandas()
-    label, margin = held["label"].to_numpy(float), held["margin"].to_numpy(float)
+    held = model.transform(rows.filter("fold = 0").select("features", "label")).select("label", margin).collect()
+    label, margin = np.array(held, dtype=float).T
     seen = np.bincount(label.astype(int), minlength=2)
     if seen.min() == 0:
         return QualityModel(weights, bias, 1.0, 0.0)

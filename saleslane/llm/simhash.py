@@ -240,6 +240,6 @@ def first_of_groups(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     kept, again = rows_of(first.filter("n = 1")), first.filter("n > 1")
     if again.isEmpty():
         return kept
-    text_hash = "kept_th"
-    repeated = rows_of(again).withColumn(text_hash, F.xxhash64(F.coalesce("text", F.lit(""))))
-    return kept.union(repeated.dropDuplicates(["doc_id", text_hash]).drop(text_hash))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    repeated = rows_of(again).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), whole)
+    return kept.union(repeated.dropDuplicates(["doc_id", "th"]).select("row.*"))

@@ -87,3 +87,27 @@ def test_large_budget_takes_all_and_ties_stay_together(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert op.plan(empty).count() == 0 and op.mix(empty).count() == 0
+
+
+def test_unlisted_languages_keep_a_share(spark):
+    rows = [(i, f"w{i} " * 20, ["en", "de", "fr", "es", "it", None][i % 6], "a", 1) for i in range(600)]
+    got = op.plan(spark.createDataFrame(rows, SCHEMA)).collect()
+    taken = {lang: sum(r.taken for r in got if r.lang == lang) for lang in ("en", "it", None)}
+    assert taken["it"] > 0 and taken[None] > 0 and all(r.weight > 0 for r in got)
+
+
+def test_clashing_columns_are_kept(spark):
+    names = ("mix_weight", "mix_tokens", "mix_source", "mix_lang", "mix_topic", "mix_chance", "row", "tokens", "a.b")
+    schema = SCHEMA + "".join(f", `{n}` int" for n in names)
+    docs = spark.createDataFrame([(1, "x y", "en", "a", 3, *range(9)), (2, "x z", "en", "a", 3, *range(9))], schema)
+    got = op.mix(docs, op.MixConfig(budget=2.0))
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+    assert op.plan(docs).count() == 2
+
+
+def test_margins_that_cannot_hold_are_reported(spark):
+    rows = [(1, "a b c", "en", "s", 1), (2, "a b", "de", "t", 1)]
+    margins = {"source": op.Margin({"s": 0.9, "t": 0.1}), "lang": op.Margin({"en": 0.2, "de": 0.8}), "topic": op.Margin()}
+    with pytest.warns(UserWarning, match="still off"):
+        op.plan(spark.createDataFrame(rows, SCHEMA), op.MixConfig(margins=margins, sweeps=6)).collect()

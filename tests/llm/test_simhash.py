@@ -123,3 +123,11 @@ def test_components_of_a_chain_and_a_star(spark):
     star = [(7, i) for i in range(8, 40)] + [(8, 8)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in range(7, 40)}}
+
+
+def test_keep_first_with_clashing_columns_and_repeated_rows(spark):
+    names = "doc_id long, text string, kept_th int, th int, kept_id int, root int, n int, fp int, row int"
+    rows = [(5, "q w e r t", *[i] * 7) for i in (1, 1, 2)] + [(9, "m1 m2 m3 m4 m5 m6", *[3] * 7)]
+    df = spark.createDataFrame(rows, names)
+    kept = op.keep_first(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [5, 9]
