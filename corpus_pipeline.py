@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslane.llm import decontaminate, mixing, near_copies, quality, token_codes
+from saleslane.llm import decontaminate, mixing, quality, simhash, token_codes
 from saleslane.plans.durable import durable
 
 
@@ -21,8 +21,8 @@ def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with 0.8 of their five-word shingles in common: the smallest id."""
-    return near_copies.keep_first(docs)
+    """One document of each component of fingerprints within four bits over four-word shingles: the smallest id."""
+    return simhash.keep_first(docs, shingle=4, radius=4)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
