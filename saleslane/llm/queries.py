@@ -12,6 +12,7 @@ from saleslane.llm import (
     decontaminate,
     license_scan,
     mixing,
+    prefix_trie,
     quality,
     secret_scan,
     simhash,
@@ -19,6 +20,7 @@ from saleslane.llm import (
     token_codes,
     toxicity,
     url_rules,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.col("evidence.doc_id").alias("nearest"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"))
+    found = warc.read(spark, archives, payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefix_trie.trie(*prefix_trie.rebuild(turns, conv - conv % 5, shared, most=8))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -98,6 +113,8 @@ def queries() -> dict[str, Query]:
             op8_url_rules,
             op9_mixing,
             op10_toxicity,
+            op11_warc,
+            op12_prefix_trie,
         )
     }
 
