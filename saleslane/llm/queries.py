@@ -16,6 +16,7 @@ from saleslane.llm import (
     quality,
     secret_scan,
     simhash,
+    spelling,
     substring_dedup,
     token_codes,
     toxicity,
@@ -99,6 +100,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.rebuild(turns, conv - conv % 5, shared, most=8))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -115,6 +120,7 @@ def queries() -> dict[str, Query]:
             op10_toxicity,
             op11_warc,
             op12_prefix_trie,
+            op13_spelling,
         )
     }
 
