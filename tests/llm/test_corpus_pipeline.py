@@ -49,7 +49,7 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_counterparts(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     got = queries.queries()[name](spark, SF_DIR)
     found = duck.execute(queries.oracle_sql()[name])
