@@ -70,15 +70,18 @@ class BoostConfig:
     rounds: int = 300
     learning_rate: float = 0.05
     max_depth: int = 5
+    num_leaves: int = 31
     min_rows_per_leaf: int = 20
     min_gain: float = 0.0
+    lambda_l1: float = 0.1
+    lambda_l2: float = 0.1
     feature_fraction: float = 0.8
     row_fraction: float = 0.8
+    # Trees that share a sample of rows.
+    bagging_freq: int = 5
     max_bins: int = 64
-    # Rounds without a gain before boosting stops; None stops at the first gain under the
-    # tolerance, which costs a single fit.
+    # Rounds without a gain on validation rows before boosting stops; None grows all rounds.
     patience: int | None = 30
-    early_stop_tol: float = 0.0
     seed: int = 42
 
 
@@ -91,7 +94,6 @@ class TuningConfig:
     val: int = 30
     anchor: str = "start"
     seed: int = 42
-    parallelism: int = 4
 
 
 @dataclass(frozen=True)

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleslane.config import BoostConfig
 from saleslane.functions.dates import TEMPORAL
+from saleslane.operators.boosting import (
+    TASK_ROWS,
+    TRAIN,
+    VALIDATE,
+    Fit,
+    Grown,
+    Layout,
+    Tree,
+    best_round,
+    binner,
+    feature_cuts,
+    fit_all,
+    unit_of,
+)
 from saleslane.operators.splits import fill_missing
 from saleslane.plans.durable import durable
 
@@ -58,43 +71,81 @@ def model_matrix(
 FOLDS = 5
 FOLD_DAYS = 28
 ALL_FOLDS = -1
+#: Series that are nominal bins of their own; beyond that, bins hold series of like mean residual.
+MAX_SERIES = 1024
 
 
 @dataclass(frozen=True)
 class ResidualModel:
-    """A fitted pipeline with the feature order it was trained on and the code of each series."""
+    """A fitted model: trees over binned features, and the code (keys, _code) of each series."""
 
-    pipeline: PipelineModel
     keys: tuple[str, ...]
     features: tuple[str, ...]
-    encoding: DataFrame
+    cuts: tuple[tuple[float, ...], ...]
+    codes: DataFrame
+    n_codes: int
+    grown: Grown
 
     @property
     def rounds(self) -> int:
-        return self.pipeline.stages[-1].getNumTrees
+        return len(self.grown.trees)
+
+    @property
+    def validation_errors(self) -> list[float]:
+        """Mean absolute error on the validation rows after every round that was grown."""
+        return self.grown.errors
 
     def predict(self, matrix: DataFrame, out: str = "residual_forecast") -> DataFrame:
-        coded = _with_series_code(matrix.withColumn("_fold", F.lit(ALL_FOLDS)), self.keys, self.encoding)
-        return (
-            self.pipeline.transform(coded)
-            .withColumnRenamed("prediction", out)
-            .drop("_fold", "_series_code", "_features")
-        )
+        columns, features = [c for c in matrix.columns if c != out], list(self.features)
+        bins, grown = binner(list(self.cuts), self.n_codes), self.grown
+
+        def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = bins(batch, features, "_code").astype(np.int64)
+                total = np.full(batch.num_rows, grown.start)
+                for tree in grown.trees:
+                    total += tree.outputs(rows)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(total)], names=[*columns, out])
+
+        coded = matrix.select(*columns).join(self.codes, list(self.keys), "left").select(*columns, "_code")
+        return coded.mapInArrow(predicted, coded.drop("_code").schema.add(out, "double"))
+
+    def nodes(self) -> DataFrame:
+        """The trees as a table, one row per node."""
+        names = ("feature", "cut", "codes", "left", "right", "value", "gain", "depth")
+        rows = [
+            (t, n, *values)
+            for t, tree in enumerate(self.grown.trees)
+            for n, values in enumerate(zip(*(getattr(tree, name) for name in names), strict=True))
+        ]
+        return SparkSession.active().createDataFrame(rows, NODES_SCHEMA)
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        meta = [(list(self.keys), list(self.features))]
-        schema = "keys array<string>, features array<string>"
-        spark.createDataFrame(meta, schema).coalesce(1).write.mode("overwrite").json(f"{path}/meta")
-        self.encoding.write.mode("overwrite").parquet(f"{path}/encoding")
+        meta = [(list(self.keys), list(self.features), [list(c) for c in self.cuts], self.n_codes, self.rounds, self.grown.start, self.grown.errors)]
+        spark.createDataFrame(meta, META_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+        self.nodes().write.mode("overwrite").parquet(f"{path}/nodes")
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+
+
+NODES_SCHEMA = (
+    "tree int, node int, feature int, cut int, codes array<int>, `left` int, `right` int, value double, gain double, depth int"
+)
+META_SCHEMA = (
+    "keys array<string>, features array<string>, cuts array<array<double>>, n_codes int, rounds int, start double, errors array<double>"
+)
 
 
 def load_residual_model(spark: SparkSession, path: str) -> ResidualModel:
-    meta = spark.read.schema("keys array<string>, features array<string>").json(f"{path}/meta").first()
-    encoding = spark.read.parquet(f"{path}/encoding")
-    pipeline = PipelineModel.load(f"{path}/pipeline")
-    return ResidualModel(pipeline, tuple(meta["keys"]), tuple(meta["features"]), encoding)
+    """A stored model; its nodes are bounded by rounds and leaves, whatever it was trained on."""
+    meta = spark.read.schema(META_SCHEMA).parquet(f"{path}/meta").first()
+    trees = [Tree(*([] for _ in range(8))) for _ in range(meta["rounds"])]
+    for row in spark.read.schema(NODES_SCHEMA).parquet(f"{path}/nodes").orderBy("tree", "node").collect():
+        for name, values in vars(trees[row["tree"]]).items():
+            values.append(row[name])
+    grown = Grown(meta["start"], trees, list(meta["errors"]))
+    codes = spark.read.parquet(f"{path}/codes")
+    return ResidualModel(tuple(meta["keys"]), tuple(meta["features"]), tuple(map(tuple, meta["cuts"])), codes, meta["n_codes"], grown)
 
 
 def fold_of(date: Column) -> Column:
@@ -127,114 +178,100 @@ def series_encoding(train: DataFrame, keys: Sequence[str] = KEYS, y: str = TARGE
     )
 
 
-def _with_series_code(df: DataFrame, keys: Sequence[str], encoding: DataFrame) -> DataFrame:
-    return df.join(encoding, [*keys, "_fold"], "left").fillna({"_series_code": 0.0})
-
-
 def merge_params(defaults: BoostConfig, tuned: dict[str, float] | None) -> BoostConfig:
     """Tuned values over defaults, each with the type of the default it replaces."""
     known = {k: v for k, v in (tuned or {}).items() if hasattr(defaults, k)}
     return replace(defaults, **{k: type(getattr(defaults, k))(v) for k, v in known.items()})
 
 
+def series_codes(train: DataFrame, keys: Sequence[str] = KEYS, most: int = MAX_SERIES) -> tuple[DataFrame, int]:
+    """(keys, _code) of each series, and the number of codes, which is ``most`` at the most.
+
+    Up to ``most`` series have a code of their own.  More series are cut into so many groups
+    by their mean residual, which costs no more than one aggregation.
+    """
+    keys = list(keys)
+    series = train.select(*keys).distinct()
+    number = series.limit(most + 1).count()
+    if number <= most:
+        place = (F.row_number().over(Window.orderBy(*keys)) - 1).cast("int")
+        return durable(series.select(*keys, place.alias("_code"))), number
+    means = durable(series_encoding(train, keys).where(F.col("_fold") == ALL_FOLDS))
+    edges = feature_cuts(means, ["_series_code"], most)[0]
+    below = F.size(F.filter(F.array(*map(F.lit, edges)), lambda c: c < F.col("_series_code")))
+    return durable(means.select(*keys, below.alias("_code"))), len(edges) + 1
+
+
+@dataclass(frozen=True)
+class Binned:
+    """Rows ready for boosting, with all that turns other rows into the same bins."""
+
+    rows: DataFrame
+    layout: Layout
+    features: tuple[str, ...]
+    cuts: tuple[tuple[float, ...], ...]
+    codes: DataFrame
+    n_codes: int
+
+
+def bin_rows(rows: DataFrame, train: Column, roles: Sequence[Column], max_bins: int, keys: Sequence[str] = KEYS) -> Binned:
+    """Bin rows that have a target once; ``train`` says which of them set bins and series codes.
+
+    ``roles`` gives each row's part (0, TRAIN or VALIDATE) in each of several splits.
+    """
+    features = [c for c in feature_columns(rows) if c not in keys and not c.startswith("_")]
+    known = durable(rows.select(*rows.columns, *(r.alias(f"_role_{i}") for i, r in enumerate(roles)), train.alias("_train")))
+    codes, n_codes = series_codes(known.where("_train"), keys)
+    cuts = feature_cuts(known.where("_train"), features, max_bins)
+    unit, _ = unit_of(known, TARGET)
+    bins, names = binner(cuts, n_codes), [f"_role_{i}" for i in range(len(roles))]
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [pa.array([x.tobytes() for x in bins(batch, features, "_code")], pa.binary())]
+            parts = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1).astype("<u1")
+            cells.append(pa.array([x.tobytes() for x in parts], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*cells, batch.column("_y"), batch.column("_key")], names=["bins", "roles", "y", "key"])
+
+    dated = [c for c in ("date",) if c in rows.columns]
+    coded = known.join(codes, list(keys), "left").select(
+        *features, *names, "_code", F.col(TARGET).cast("double").alias("_y"), F.xxhash64(*keys, *dated).alias("_key")
+    )
+    stored = durable(coded.mapInArrow(binned, "bins binary, roles binary, y double, key long"))
+    layout = Layout((n_codes + 1, *(len(c) + 1 for c in cuts)), unit)
+    return Binned(stored, layout, tuple(features), tuple(map(tuple, cuts)), codes, n_codes)
+
+
 def fit_residual_model(
     matrix: DataFrame,
     config: BoostConfig = BoostConfig(),
     keys: Sequence[str] = KEYS,
     validation: Column | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> ResidualModel:
     """Fit one model over all series on the rows that are not ``validation``.
 
-    With ``config.patience`` boosting grows by blocks, twice as many rounds each time, until the
-    mean absolute error on the validation rows has not fallen for that many rounds; the trees
-    after the best round are dropped.  Without it, boosting stops as soon as a round gains less
-    than ``config.early_stop_tol``.  A series enters as its :func:`series_encoding`.
+    With ``config.patience`` trees are added until the mean absolute error on the validation rows
+    has not fallen for that many rounds; those after the best round are dropped.  No tree is
+    grown twice.  Series are bins of a nominal feature.
     """
-    keys = tuple(keys)
-    rows = matrix.dropna(subset=[TARGET])
     held_out = F.lit(False) if validation is None else F.coalesce(validation, F.lit(False))
-    rows = rows.withColumn("_held_out", held_out)
-    numeric = [c for c in feature_columns(matrix) if c not in keys]
-    features = ("_series_code", *numeric)
-
-    encoding = durable(series_encoding(rows.where(~F.col("_held_out")), keys))
-    fold = F.when(F.col("_held_out"), ALL_FOLDS).otherwise(fold_of(F.col("date")))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    coded = _with_series_code(rows.withColumn("_fold", fold), keys, encoding)
-    data = assembler.transform(coded).select("_features", TARGET, "_held_out").persist()
-    try:
-        booster = _boost(data, config, validation is not None)
-    finally:
-        data.unpersist()
-    return ResidualModel(PipelineModel([assembler, booster]), keys, features, encoding)
-
-
-def _boost(data: DataFrame, config: BoostConfig, has_validation: bool):
-    gbt = GBTRegressor(
-        featuresCol="_features",
-        labelCol=TARGET,
-        lossType="squared",
-        maxIter=config.rounds,
-        stepSize=config.learning_rate,
-        maxDepth=config.max_depth,
-        minInstancesPerNode=config.min_rows_per_leaf,
-        minInfoGain=config.min_gain,
-        featureSubsetStrategy=str(float(config.feature_fraction)),
-        subsamplingRate=config.row_fraction,
-        maxBins=config.max_bins,
-        seed=config.seed,
-    )
-    train = data.where(~F.col("_held_out"))
-    if not has_validation:
-        return gbt.fit(train)
-    if config.patience is None:
-        gbt.setParams(validationIndicatorCol="_held_out", validationTol=config.early_stop_tol)
-        return gbt.fit(data)
-    rounds = min(config.rounds, 2 * config.patience)
-    while True:
-        # The same seed grows the same first trees.
-        full = gbt.fit(train, {gbt.maxIter: rounds})
-        errors = full.evaluateEachIteration(data.where("_held_out"), "absolute")
-        best = best_round(errors, config.patience)
-        if best + config.patience <= rounds or rounds == config.rounds:
-            return full if best == len(errors) else _first_rounds(full, best)
-        rounds = min(config.rounds, 2 * rounds)
-
-
-def _first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The model of its first trees only, which is what a fit of fewer rounds gives.
-
-    The constructor is only offered on the JVM side; a second fit would cost as much as the
-    first.
-    """
-    context = SparkSession.active().sparkContext
-    regression = context._jvm.org.apache.spark.ml.regression
-    trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(context._jvm.double, rounds)
-    for i in range(rounds):
-        trees[i] = model.trees[i]._java_obj
-        weights[i] = model.treeWeights[i]
-    cut = regression.GBTRegressionModel(model.uid, trees, weights, model.numFeatures)
-    return GBTRegressionModel(cut).setFeaturesCol(model.getFeaturesCol())
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """1-based round with the least error seen before ``patience`` rounds without a gain."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
+    role = F.when(held_out, VALIDATE).otherwise(TRAIN)
+    made = bin_rows(matrix.dropna(subset=[TARGET]), ~held_out, [role], config.max_bins, keys)
+    grown = fit_all(made.rows, made.layout, [Fit(config)], task_rows)[0]
+    return ResidualModel(tuple(keys), made.features, made.cuts, made.codes, made.n_codes, grown)
 
 
 def feature_importance(model: ResidualModel) -> DataFrame:
-    """One row ``(feature, importance)`` per feature; importances sum to 1."""
-    names = ["category" if f == "_series_code" else f for f in model.features]
-    gains = model.pipeline.stages[-1].featureImportances.toArray().tolist()
-    spark = SparkSession.active()
-    return spark.createDataFrame(list(zip(names, gains)), "feature string, importance double")
+    """One row ``(feature, importance)`` per feature; importances are shares of all gains."""
+    names = ["_".join(model.keys), *model.features]
+    gains = [0.0] * len(names)
+    for tree in model.grown.trees:
+        for feature, gain in zip(tree.feature, tree.gain, strict=True):
+            if feature >= 0:
+                gains[feature] += gain
+    whole = sum(gains) or 1.0
+    return SparkSession.active().createDataFrame([(n, g / whole) for n, g in zip(names, gains, strict=True)], "feature string, importance double")
 
 
 def top_features(model: ResidualModel, k: int = 20) -> DataFrame:

@@ -41,20 +41,26 @@ def test_reloaded_model_predicts_the_same(spark, matrix, tmp_path):
         return [r[0] for r in m.predict(matrix).orderBy("category", "date").select("residual_forecast").collect()]
 
     assert predicted(model) == predicted(again) and again.features == model.features
-
-
-@pytest.mark.parametrize("series", [2, 24])
-def test_any_number_of_series_takes_the_same_path(spark, matrix, tmp_path, series):
-    part = F.when(F.lit(series > 2), (F.dayofmonth("date") % 12).cast("string")).otherwise("")
-    many = matrix.withColumn("category", F.concat("category", part))
-    for bins in (16, 64):
-        model = residual.fit_residual_model(many, BoostConfig(**{**SMALL.__dict__, "max_bins": bins}))
-        assert [type(s).__name__ for s in model.pipeline.stages] == ["VectorAssembler", "GBTRegressionModel"]
-        assert model.features[0] == "_series_code" and model.encoding.count() == series * 6
-    assert model.predict(many).where("residual_forecast is null").count() == 0
+    assert again.grown == model.grown and again.cuts == model.cuts
+
+
+@pytest.mark.parametrize("most", [1024, 6])
+def test_many_series_and_a_planted_group_of_them(spark, monkeypatch, tmp_path, most):
+    # Every third of 30 series is 8 higher: no threshold on an arbitrary order of names finds that.
+    monkeypatch.setattr(residual.series_codes, "__defaults__", (residual.KEYS, most))
+    rng = random.Random(3)
+    names = [f"s{rng.random()}" for _ in range(30)]
+    rows = [(c, day(i), rng.random(), 8.0 * (k % 3 == 0) + rng.uniform(-1, 1)) for k, c in enumerate(names) for i in range(20)]
+    many = spark.createDataFrame(rows, "category string, date date, noise double, ets_residual double")
+    model = residual.fit_residual_model(many, BoostConfig(**{**SMALL.__dict__, "rounds": 12}))
+    top = residual.top_features(model, 1).first()
+    assert top["feature"] == "category" and top["importance"] > 0.9
+    error = F.abs(F.col("ets_residual") - F.col("residual_forecast"))
+    assert model.predict(many).agg(F.avg(error)).first()[0] < 0.7
     model.save(str(tmp_path / "m"))
     again = residual.load_residual_model(spark, str(tmp_path / "m"))
-    assert again.predict(many).count() == many.count()
+    stranger = spark.createDataFrame([("new", day(0), None, 0.0)], many.schema)
+    assert again.predict(many.union(stranger)).where("residual_forecast is null").count() == 0
 
 
 def test_encoding_leaves_out_the_rows_own_dates(spark):
@@ -70,15 +76,14 @@ def test_encoding_leaves_out_the_rows_own_dates(spark):
     assert not any(c == "C" for c, _ in got)
 
 
-def test_dropping_trees_equals_a_shorter_fit(matrix):
-    longer = residual.fit_residual_model(matrix, SMALL)
-    shorter = residual.fit_residual_model(matrix, BoostConfig(**{**SMALL.__dict__, "rounds": 2}))
-    cut = residual._first_rounds(longer.pipeline.stages[-1], 2)
-    coded = residual._with_series_code(matrix.withColumn("_fold", F.lit(-1)), ("category",), longer.encoding)
-    data = longer.pipeline.stages[0].transform(coded)
-    a = [r[0] for r in cut.transform(data).select("prediction").collect()]
-    b = [r[0] for r in shorter.pipeline.stages[-1].transform(data).select("prediction").collect()]
-    assert a == b and cut.getNumTrees == 2
+def test_trees_after_the_best_round_are_dropped(matrix):
+    held = F.col("split") == "val"
+    config = BoostConfig(**{**SMALL.__dict__, "rounds": 60, "patience": 3})
+    model = residual.fit_residual_model(matrix, config, validation=held)
+    errors = model.validation_errors
+    assert model.rounds == residual.best_round(errors, 3) and len(errors) == min(60, model.rounds + 3)
+    shorter = residual.fit_residual_model(matrix, BoostConfig(**{**config.__dict__, "rounds": model.rounds}), validation=held)
+    assert shorter.grown.trees == model.grown.trees
 
 
 def test_patience():
@@ -113,7 +118,7 @@ def test_search_is_seeded_and_stays_in_its_space():
 def test_trials_cover_all_folds(matrix):
     space = {"max_depth": ("int", 1, 2), "rounds": ("int", 1, 2)}
     trials = tuning.tune(
-        matrix, TuningConfig(trials=2, folds=2, min_train=80, val=15, parallelism=2), space, SMALL
+        matrix, TuningConfig(trials=2, folds=2, min_train=80, val=15), space, SMALL
     )
     rows = trials.collect()
     assert {(r["trial"], r["fold"]) for r in rows} == {(0, 0), (0, 1), (1, 0), (1, 1)}
