@@ -1,9 +1,9 @@
 """Exponential smoothing of every series in one distributed job.
 
-Each pass hash-partitions the rows by series and sorts them by day inside the partitions; the
-sort spills to disk.  Python then reads the sorted partition batch by batch and carries one
-small state from row to row, so neither a task nor a group ever holds a whole series.  All
-parameter candidates advance together as one array.
+Rows are hash-partitioned by series and sorted by day inside the partitions; the sort spills to
+disk.  A task reads its partition in order and holds one block of series as arrays of numbers: eight
+bytes a day and series, however many source rows a day stands for.  The whole search of a block,
+grid and refinements, is one pass over the rows.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,15 +24,14 @@ from saleslane.config import EtsConfig
 from saleslane.functions.exprs import series_window, strict_avg
 from saleslane.operators import smoothing as _smoothing
 from saleslane.operators.smoothing import (
-    Recursion,
-    Trailing,
+    BLOCK_PAIRS,
     grid,
-    grid_around,
+    search,
     series_runs,
-    unusable,
-    values_of,
+    step_pairs,
+    trailing_means,
+    usable,
 )
-from saleslane.plans.durable import durable
 
 # The code that runs inside tasks travels with them, so executors need no installed package.
 for _module in (_config, _smoothing):
@@ -39,7 +39,10 @@ for _module in (_config, _smoothing):
 
 KEYS = ("category",)
 PARAMS = ("alpha", "beta", "gamma", "phi")
-STATES_PER_BATCH = 1000
+FITTED = ("ets_fitted", "ets_residual", "ets_level")
+#: Series, and values, of a block that is fitted together.
+BLOCK_SERIES = 1024
+BLOCK_VALUES = 1 << 20
 
 _DOUBLE = T.DoubleType()
 _STATE = (
@@ -54,12 +57,6 @@ _STATE = (
         T.StructField("fallback", T.BooleanType()),
     ]
 )
-_COMPONENTS = [
-    T.StructField("date", T.DateType()),
-    T.StructField("actual", _DOUBLE),
-    T.StructField("ets_fitted", _DOUBLE),
-    T.StructField("ets_level", _DOUBLE),
-]
 
 
 def _in_series_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -79,54 +76,104 @@ def ets_fit(
     multiplicative part or never give a finite error are marked ``fallback`` and keep a
     trailing mean as their level.
     """
-    rows = df.select(*keys, "date", F.col(y).cast("double").alias("y"))
-    states = _fit_pass(rows, keys, spec)
-    if spec.refine and not spec.is_fixed:
-        for finer in range(1, spec.refinements + 1):
-            winner = durable(states).select(*keys, *PARAMS)
-            states = _fit_pass(rows.join(winner, list(keys), "left"), keys, spec, finer)
-    return states
-
-
-def _fit_pass(rows: DataFrame, keys: Sequence[str], spec: EtsConfig, finer: int = 0) -> DataFrame:
     keys = list(keys)
+    rows = df.select(*keys, "date", F.col(y).cast("double").alias("y"))
     schema = T.StructType([rows.schema[k] for k in keys] + _STATE)
     names = [f.name for f in schema]
+    per_block = max(1, BLOCK_PAIRS // len(grid(spec)[0]))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states = _states(batches)
-        while block := list(itertools.islice(states, STATES_PER_BATCH)):
-            yield pd.DataFrame(
-                {c: pd.Series([s.get(c) for s in block], dtype=object) for c in names}
-            )
-
-    def _states(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
-        for key, runs in series_runs(batches, keys):
-            recursion, bad, n, last = None, False, 0, None
-            trailing, level = Trailing(spec.period), None
-            for run in runs:
-                if recursion is None:
-                    recursion = Recursion(spec, *_candidates(run.iloc[0]))
-                values = values_of(run)
-                bad = bad or unusable(spec, values)
-                if not bad:
-                    with np.errstate(all="ignore"):
-                        recursion.feed(values)
-                for v in values[-spec.period :]:
-                    level = trailing.push(v)
-                n, last = n + len(values), run["date"].iloc[-1]
-            state = None if bad else recursion.best()
-            row = {**dict(zip(keys, key)), "n": n, "last_date": last, "fallback": state is None}
-            yield row | (state or {"level": level})
-
-    def _candidates(row: pd.Series):
-        if finer and pd.notna(row["alpha"]):
-            return grid_around(spec, tuple(float(row[p]) for p in PARAMS), finer)
-        return grid(spec)
+        for block in _blocks(_whole_series(batches, keys), per_block):
+            good = [i for i, (_, values, _) in enumerate(block) if usable(spec, values)]
+            with np.errstate(all="ignore"):
+                states = dict(zip(good, search(spec, [block[i][1] for i in good])[0])) if good else {}
+            rows = []
+            for i, (key, values, last) in enumerate(block):
+                state = states.get(i)
+                row = {**dict(zip(keys, key)), "n": len(values), "last_date": last, "fallback": state is None}
+                rows.append(row | (state or {"level": trailing_means(values, spec.period)[-1]}))
+            yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in names})
 
     return _in_series_order(rows, keys).mapInPandas(fit, schema)
 
 
+def _whole_series(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, np.ndarray, object]]:
+    for key, runs in series_runs(batches, keys):
+        parts, last = [], None
+        for run in runs:
+            parts.append(run["y"].to_numpy(dtype=float))
+            last = run["date"].iloc[-1]
+        yield key, np.concatenate(parts), last
+
+
+def _blocks(series: Iterator[tuple], most: int) -> Iterator[list[tuple]]:
+    """Lists of up to ``most`` series, or fewer once they hold many values; the second field has the values."""
+    block, held = [], 0
+    for one in series:
+        block.append(one)
+        held += len(one[1])
+        if len(block) >= most or held >= BLOCK_VALUES:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+def _carried(
+    df: DataFrame, state: DataFrame, keys: Sequence[str], y: str, spec: EtsConfig, how: str
+) -> DataFrame:
+    """The rows with all their columns and ``ets_fitted``, ``ets_residual``, ``ets_level`` in one pass."""
+    keys, columns = list(keys), [c for c in df.columns if c not in FITTED]
+    known = state.select(*keys, *(F.col(p).alias(f"_{p}") for p in PARAMS), F.col("fallback").alias("_fallback"))
+    rows = df.select(*columns, F.col(y).cast("double").alias("_y")).join(known, keys, how).select(*columns, "_y", *(f"_{p}" for p in PARAMS), "_fallback")
+    schema = rows.select(*columns).schema
+    for name in FITTED:
+        schema = schema.add(name, "double")
+
+    def series(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for _, runs in itertools.groupby(_arrow_runs(batches, keys), key=lambda run: run[0]):
+            parts = [part for _, part in runs]
+            values = np.concatenate([p.column("_y").to_numpy(zero_copy_only=False).astype(float) for p in parts])
+            yield parts, values, parts[0].select([f"_{p}" for p in PARAMS] + ["_fallback"]).slice(0, 1).to_pylist()[0]
+
+    def components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(series(batches), BLOCK_SERIES):
+            fitted = [x for x in block if x[2]["_fallback"] is False]
+            if fitted:
+                params = [np.array([x[2][f"_{p}"] for x in fitted], dtype=float) for p in PARAMS]
+                with np.errstate(all="ignore"):
+                    steps = step_pairs(spec, [x[1] for x in fitted], np.arange(len(fitted)), params, record=True)
+            place = 0
+            for parts, values, known in block:
+                if known["_fallback"] is None:
+                    fits = levels = np.full(len(values), np.nan)
+                elif known["_fallback"]:
+                    fits = levels = np.array(trailing_means(values, spec.period), dtype=float)
+                else:
+                    fits, levels = (x[: len(values), place] for x in (steps.fitted, steps.levels))
+                    place += 1
+                at = 0
+                for part in parts:
+                    cut = slice(at, at + part.num_rows)
+                    new = (fits[cut], values[cut] - fits[cut], levels[cut])
+                    arrays = [*(part.column(c) for c in columns), *(pa.array(x, from_pandas=True) for x in new)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *FITTED])
+                    at += part.num_rows
+
+    return _in_series_order(rows, keys).mapInArrow(components, schema)
+
+
+def _arrow_runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Sorted batches cut where the series changes."""
+    for batch in batches:
+        if batch.num_rows:
+            codes = batch.select(list(keys)).to_pandas().groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(edges, edges[1:]):
+                part = batch.slice(start, end - start)
+                yield tuple(part.column(k)[0].as_py() for k in keys), part
+
+
 def ets_components(
     df: DataFrame,
     state: DataFrame,
@@ -134,40 +181,12 @@ def ets_components(
     y: str = "sales",
     spec: EtsConfig = EtsConfig(),
 ) -> DataFrame:
-    """``actual``, ``ets_fitted``, ``ets_residual`` and ``ets_level`` of every row.
+    """``actual``, ``ets_fitted``, ``ets_residual`` and ``ets_level`` of every row of a series with a state.
 
     Rows of fallback series are fitted by the trailing mean that includes the row itself.
     """
-    keys = list(keys)
-    rows = df.select(*keys, "date", F.col(y).cast("double").alias("y")).join(
-        state.select(*keys, *PARAMS, "fallback"), keys
-    )
-    schema = T.StructType([rows.schema[k] for k in keys] + _COMPONENTS)
-
-    def components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for key, runs in series_runs(batches, keys):
-            recursion, trailing, waiting = None, Trailing(spec.period), []
-            for run in runs:
-                values, first = values_of(run), run.iloc[0]
-                if first["fallback"]:
-                    fits = [(m, m) for m in map(trailing.push, values)]
-                    decided = run
-                else:
-                    if recursion is None:
-                        recursion = Recursion(spec, *(float(first[p]) for p in PARAMS))
-                    fits = recursion.feed(values)
-                    waiting.append(run)
-                    if not fits:
-                        continue
-                    decided, waiting = pd.concat(waiting), []
-                out = decided[[*keys, "date"]].copy()
-                out["actual"] = decided["y"]
-                out["ets_fitted"] = [f for f, _ in fits]
-                out["ets_level"] = [v for _, v in fits]
-                yield out
-
-    fitted = _in_series_order(rows, keys).mapInPandas(components, schema)
-    return fitted.withColumn("ets_residual", F.col("actual") - F.col("ets_fitted"))
+    rows = df.select(*keys, "date", F.col(y).cast("double").alias("actual"))
+    return _carried(rows, state, keys, "actual", spec, "inner")
 
 
 def with_ets_components(
@@ -177,9 +196,8 @@ def with_ets_components(
     y: str = "sales",
     spec: EtsConfig = EtsConfig(),
 ) -> DataFrame:
-    """The frame with its fitted values, residuals and levels joined on."""
-    parts = ets_components(df, state, keys, y, spec).drop("actual")
-    return df.join(parts, [*keys, "date"], "left")
+    """The frame with fitted values, residuals and levels; they are missing where a series has no state."""
+    return _carried(df, state, keys, y, spec, "left")
 
 
 def moving_average_fit(

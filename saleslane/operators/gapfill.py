@@ -39,7 +39,8 @@ def fill_low_stock(
     longer gap repeats the last value reached from the left.  A leading gap takes the first
     value for its last ``limit`` rows and stays NULL before; a trailing gap repeats the last
     value.  Series without a low row are left alone.  Rates still under the threshold after
-    filling are lifted to it.  ``fill_kind`` describes the first of ``cols``.
+    filling are lifted to it.  ``fill_kind`` describes the first of ``cols``.  Two rows of a series on
+    one date are an error: their order, and so what fills the gaps, would be arbitrary.
 
     The plan is one shuffle and two sorts per series: the value to the left comes from the
     ascending window, the one to the right from the descending window.  An ascending frame
@@ -48,10 +49,13 @@ def fill_low_stock(
     cols = [c for c in cols if c in sku_day.columns]
     ahead, back = series_window(keys), series_window(keys, descending=True)
 
+    place = F.row_number().over(ahead)
+    repeated = (place > 1) & F.lag("date").over(ahead).eqNullSafe(F.col("date"))
+    message = F.concat(F.lit("two rows of series "), F.concat_ws(" / ", *keys), F.lit(" on "), F.coalesce(F.col("date").cast("string"), F.lit("no date")))
     marked = sku_day.withColumns(
         {
             "_low": is_low(threshold),
-            "_pos": F.row_number().over(ahead),
+            "_pos": F.when(repeated, F.raise_error(message).cast("int")).otherwise(place),
             "_has_low": F.max(is_low(threshold)).over(whole(ahead)),
         }
     )

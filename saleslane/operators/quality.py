@@ -61,3 +61,9 @@ def null_profile(df: DataFrame) -> DataFrame:
     """Columns that contain NULLs with their counts, counted in one pass."""
     counted = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))
     return counted.unpivot([], df.columns, "column_name", "n_null").where("n_null > 0")
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("category",)) -> DataFrame:
+    """Series and dates that more than one row stands for, with the number of rows."""
+    counted = df.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.where("n_rows > 1")

@@ -738,6 +738,20 @@ def oracle_sql() -> dict[str, str]:
         "csv_round_trip": plain["load_sku_day"],
         "panel_sink": plain["load_sku_day"],
         "ets_state_reload": plain["ets_forecast"],
+        "exog_round_trip": plain["load_exog"],
+        "duplicate_keys": """SELECT l_returnflag AS category, CAST(l_shipdate AS DATE) AS date, count(*) AS n_rows
+            FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
+        "expanding_folds_start": _with("panel ranks", """
+            SELECT p.category, p.date, round(p.sales, 6) + 0e0 AS sales, CAST(f AS INTEGER) AS fold,
+                   CASE WHEN rnk < 500 + f * 30 THEN 'train' ELSE 'val' END AS role
+            FROM panel p JOIN ranks USING (date) CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)
+            WHERE rnk < 530 + f * 30 AND 530 + f * 30 <= n"""),
+        "hybrid_combine": _with("backtest", f"""
+            SELECT category, CAST(row_number() OVER (PARTITION BY category ORDER BY date) AS INTEGER) AS step, date,
+                   {_r('ets_forecast')}, round(residual_forecast - ets_forecast, 6) + 0e0 AS residual_forecast,
+                   round(greatest(residual_forecast, 0), 6) + 0e0 AS final_forecast
+            FROM backtest"""),
+        "model_reload": _with("features", "SELECT category, date, true AS same FROM features"),
         "series_encoding": _with("sku_day", _SERIES_ENCODING),
         "params_round_trip": _with("sku_day", """SELECT 'absent_before' AS name, 1e0 AS value UNION ALL
             SELECT 'most', max(sales) FROM sku_day UNION ALL

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,6 +203,18 @@ def load_exog(spark, sf):
     return nan_to_null(exog(spark, sf))
 
 
+def exog_round_trip(spark, sf):
+    path = f"{checkpoint_dir(spark)}/exog-{uuid.uuid4().hex}"
+    panels.write_panel(exog(spark, sf), path, "csv")
+    return nan_to_null(panels.read_exog(spark, path, "csv"))
+
+
+def duplicate_keys(spark, sf):
+    lines = bridge.lineitem(spark, sf)
+    rows = lines.select(F.col("l_returnflag").alias("category"), F.to_date("l_shipdate").alias("date"))
+    return quality.duplicate_keys(rows)
+
+
 def sku_keys(spark, sf):
     number = F.col("l_linenumber")
     lines = bridge.lineitem(spark, sf)
@@ -324,6 +336,11 @@ def expanding_folds(spark, sf):
     return splits.expanding_folds(rows, anchor="end", dates=ship_dates(spark, sf))
 
 
+def expanding_folds_start(spark, sf):
+    rows = panel(spark, sf).select("category", "date", "sales")
+    return splits.expanding_folds(rows, dates=ship_dates(spark, sf))
+
+
 def fill_missing(spark, sf):
     rows = features.add_rolling(features.add_lags(panel(spark, sf)))
     cols = ["lag_7", "lag_28", "rolling_mean_28", "promo_lag_7"]
@@ -443,6 +460,16 @@ def residual_model_mae(spark, sf):
     return residual.residual_mae(model, matrix)
 
 
+def model_reload(spark, sf):
+    """Whether a stored and reloaded model forecasts every row the same."""
+    matrix = training_matrix(spark, sf)
+    path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    model = residual.fit_residual_model(matrix, BOOST, validation=F.col("split") == "val")
+    model.save(path)
+    both = residual.load_residual_model(spark, path).predict(model.predict(matrix), "reloaded_forecast")
+    return both.select("category", "date", (F.col("residual_forecast") == F.col("reloaded_forecast")).alias("same"))
+
+
 def top_features(spark, sf):
     return residual.top_features(residual.fit_residual_model(training_matrix(spark, sf), BOOST), 20)
 
@@ -459,6 +486,13 @@ def hybrid_forecast(spark, sf):
     return hybrid.hybrid_forecast(state, model, rows, HORIZON, spec=FIXED)
 
 
+def hybrid_combine(spark, sf):
+    """Weekly changes as residual forecasts that often outweigh the base, so sums below zero occur."""
+    rows = backtest(spark, sf).withColumn("step", F.row_number().over(Window.partitionBy("category").orderBy("date")))
+    change = rows.select("category", "step", "date", (F.col("residual_forecast") - F.col("ets_forecast")).alias("residual_forecast"))
+    return hybrid.combine(rows.select("category", "step", "ets_forecast"), change)
+
+
 def pipeline_forecast(spark, sf):
     return run(spark, sf).forecast
 
@@ -546,6 +580,8 @@ _REGISTERED: dict[str, Query] = {
     "series_encoding": series_encoding,
     "ets_state_reload": ets_state_reload,
     "load_exog": load_exog,
+    "exog_round_trip": exog_round_trip,
+    "duplicate_keys": duplicate_keys,
     "sku_keys": sku_keys,
     "input_profile": lambda s, d: rollup.input_profile(sku_day(s, d)),
     "low_instock_stats": lambda s, d: gapfill.low_stock_stats(sku_day(s, d)),
@@ -581,6 +617,7 @@ _REGISTERED: dict[str, Query] = {
     "semi_join_dates": semi_join_dates,
     "union_splits": union_splits,
     "expanding_folds": expanding_folds,
+    "expanding_folds_start": expanding_folds_start,
     "fill_missing": fill_missing,
     "model_matrix": model_matrix,
     "tail_per_series": tail_per_series,
@@ -603,8 +640,10 @@ _REGISTERED: dict[str, Query] = {
     "future_frame": future_frame,
     "residual_model": residual_model,
     "residual_model_mae": residual_model_mae,
+    "model_reload": model_reload,
     "top_features": top_features,
     "tuning_trials": tuning_trials,
+    "hybrid_combine": hybrid_combine,
     "hybrid_forecast": hybrid_forecast,
     "pipeline_forecast": pipeline_forecast,
     "pipeline_metrics": pipeline_metrics,

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from saleslane.config import EtsConfig
-from saleslane.operators import ets
+from saleslane.operators import ets, smoothing
 from tests.helpers import ordered, same, series
 
 
@@ -146,3 +146,23 @@ def test_statistics_and_join(spark):
     same([row["mape"]], [(residual / joined["sales"]).abs().mean() * 100])
     described = ets.series_describe(df).first()
     same([described["std"]], [joined["sales"].std(ddof=0)])
+
+
+def test_early_abandonment_finds_the_winner_of_the_full_search_in_fewer_steps():
+    values = [np.array(wave(s, 200 + 70 * s)) for s in range(4)] + [np.array([7.0] * 40)]
+    for spec, share in ((EtsConfig(refine=False), 0.7), (EtsConfig(), 1.0), (EtsConfig(trend="mul", seasonal="add", refine=False), 0.9)):
+        with np.errstate(all="ignore"):
+            pruned, few = smoothing.search(spec, values)
+            full, many = smoothing.search(spec, values, prune=False)
+            alone = [smoothing.search(spec, [v])[0][0] for v in values]
+        assert pruned == full == alone and few < share * many
+
+
+def test_rows_keep_their_columns_and_series_without_a_state(spark):
+    spec = EtsConfig(alpha=0.3, beta=0.1, gamma=0.2)
+    df = series(spark, wave(6)).unionByName(series(spark, wave(7), "B")).selectExpr("*", "named_struct('k', 1) AS extra", "sales AS ets_fitted")
+    state = ets.ets_fit(df.where("category = 'A'"), spec=spec)
+    got = ets.with_ets_components(df, state, spec=spec)
+    assert got.columns == ["category", "date", "sales", "extra", "ets_fitted", "ets_residual", "ets_level"]
+    assert got.where("ets_level is null").select("category").distinct().collect() == [("B",)] and got.count() == df.count()
+    assert {r[0] for r in ets.ets_components(df, state, spec=spec).select("category").collect()} == {"A"}

@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 
 from saleslane.operators.gapfill import MEASURES, fill_low_stock, fill_report, low_stock_stats
-from tests.helpers import SKU_SCHEMA, ordered, same, sku_rows
+from saleslane.operators.quality import duplicate_keys
+from tests.helpers import SKU_SCHEMA, day, ordered, same, sku_rows
 
 
 def brute_force(rows, threshold, limit):
@@ -97,3 +98,11 @@ def test_reports(spark):
     assert (stats["n_rows"], stats["n_low"], stats["pct_low"]) == (4, 1, 25.0)
     counts = {r["fill_kind"]: r["n_rows"] for r in fill_report(fill_low_stock(df)).collect()}
     assert counts == {"observed": 3, "interpolated": 1}
+
+
+def test_two_rows_on_one_date_are_an_error(spark):
+    rows = sku_rows("s", [90, 10, 90]) + sku_rows("s", [80])
+    with pytest.raises(Exception, match="two rows of series s on 2021-01-01"):
+        fill_low_stock(spark.createDataFrame(rows, SKU_SCHEMA)).collect()
+    found = duplicate_keys(spark.createDataFrame(rows, SKU_SCHEMA), ["sku_id"]).collect()
+    assert [tuple(r) for r in found] == [("s", day(0), 2)]
