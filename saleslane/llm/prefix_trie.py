@@ -219,8 +219,9 @@ def trie(members: DataFrame, turns: DataFrame, block: int = BLOCK) -> DataFrame:
     alone = rows.filter("kinds = 1").drop("kinds")
     same = [c for c in alone.columns if c not in ("n_convs", "conv_id")]
     sums = {"n_convs": F.sum("n_convs").alias("n_convs"), "conv_id": F.min("conv_id").alias("conv_id")}
-    others = [F.first(c).alias(c) for c in same if c not in (*_FAMILY, *_NODE)]
-    refined = rows.filter("kinds > 1").groupBy(*_FAMILY, *_NODE).agg(*others, *sums.values())
+    # The id names the family too; grouping by the id alone deals out the family below the root.
+    others = [F.first(c).alias(c) for c in same if c not in _NODE]
+    refined = rows.filter("kinds > 1").groupBy(*_NODE).agg(*others, *sums.values())
     nodes = alone.unionByName(refined)
     whole = members.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id")).filter("n_convs > 0")
     null = F.lit(None).cast("long")
