@@ -101,7 +101,7 @@ def test_reports(spark):
 
 
 def test_two_rows_on_one_date_are_an_error(spark):
-    rows = sku_rows("s", [90, 10, 90]) + sku_rows("s", [80])
+    rows = sku_rows("s", [90.0, 10.0, 90.0], promo=[0] * 3) + sku_rows("s", [80.0])
     with pytest.raises(Exception, match="two rows of series s on 2021-01-01"):
         fill_low_stock(spark.createDataFrame(rows, SKU_SCHEMA)).collect()
     found = duplicate_keys(spark.createDataFrame(rows, SKU_SCHEMA), ["sku_id"]).collect()
