@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleslane.config import FeatureConfig
 from saleslane.functions.dates import temporal_columns
-from saleslane.functions.exprs import series_window
+from saleslane.functions.exprs import series_window, up_to_now
 from saleslane.operators.features import extreme_flags, quantile_columns, weather_quantiles
 from saleslane.operators.holidays import NO_HOLIDAY, add_holiday_phases
 from saleslane.operators.spine import future_spine
@@ -22,6 +22,9 @@ WEATHER = ("avg_temperature", "avg_rainfall", "avg_snowfall")
 ASSUMED_INSTOCK = 95.0
 ASSUMED_NUM_SKUS = 10.0
 
+LAST_DAY = 366
+_SUM = "decimal(30,12)"
+
 
 def recent_values(history: DataFrame, n: int, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Per series a map from the position before the end (1 = last row) to its values.
@@ -53,12 +56,13 @@ def future_lags(
     cols = [c for c in ("sales", "promo_intensity") if c in history.columns]
     recent = recent_values(history, max(*lags, promo_lag), cols, keys)
     rows = future_spine(history, horizon, keys).join(recent, list(keys), "left")
-    return rows.withColumns(lag_columns(lags, promo_lag, cols)).drop("recent")
+    return rows.withColumns(lag_columns(F.col("step"), lags, promo_lag, cols)).drop("recent")
 
 
-def lag_columns(lags: Sequence[int], promo_lag: int, cols: Sequence[str]) -> dict[str, Column]:
-    """Lags of a row's ``step`` out of its series' ``recent`` map."""
-    step = F.col("step")
+def lag_columns(
+    step: Column, lags: Sequence[int], promo_lag: int, cols: Sequence[str]
+) -> dict[str, Column]:
+    """Lags of a step out of its series' ``recent`` map."""
 
     def value(place: Column, col: str) -> Column:
         return F.try_element_at("recent", place)[col]
@@ -71,39 +75,58 @@ def lag_columns(lags: Sequence[int], promo_lag: int, cols: Sequence[str]) -> dic
 
 
 def climate_by_day(history: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Per series a map from the day of the year to its weather sums and counts.
+    """Per series ``climate``, the running weather sums and counts up to each day of the year 0..366.
 
-    Two partial aggregations: rows to sums per day of the year, and those, at most 366 per
-    series whatever the history holds, to one map.
+    Rows are reduced to sums per day of the year, at most 366 per series whatever the history
+    holds, and these to one array, so the sum over any window is the difference of two entries.
+    Running sums are decimals of twelve places: a difference is exact, and a dry window is 0.
     """
-    sums = {f"s_{c}": F.sum(c) for c in WEATHER} | {f"n_{c}": F.count(c) for c in WEATHER}
+    sums = {f"s_{c}": F.coalesce(F.sum(c), F.lit(0.0)).cast(_SUM) for c in WEATHER}
+    counts = {f"n_{c}": F.count(c) for c in WEATHER} | {"n_rows": F.count(F.lit(1))}
     by_day = history.groupBy(*keys, F.dayofyear("date").alias("doy")).agg(
-        *(x.alias(n) for n, x in sums.items())
+        *(x.alias(n) for n, x in (sums | counts).items())
     )
-    entry = F.struct("doy", F.struct(*sums))
-    return by_day.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("climate"),
-        F.try_divide(F.sum("s_avg_temperature"), F.sum("n_avg_temperature")).alias("mean_temp"),
+    w = series_window(keys, "doy")
+    so_far = [F.sum(c).over(up_to_now(w)).cast(_SUM if c in sums else "bigint").alias(c) for c in sums | counts]
+    days_held = F.lead("doy", 1, LAST_DAY + 1).over(w) - F.col("doy")
+    none = F.struct(*(F.lit(0).cast(_SUM if c in sums else "bigint").alias(c) for c in sums | counts))
+    running = by_day.select(*keys, F.struct("doy", days_held.alias("days"), F.struct(*so_far).alias("sums")).alias("entry"))
+    entries = F.sort_array(F.collect_list("entry"))
+    held = F.flatten(F.transform("entries", lambda e: F.array_repeat(e["sums"], e["days"])))
+    out = running.groupBy(*keys).agg(entries.alias("entries")).select(
+        *keys, F.concat(F.array_repeat(none, F.col("entries")[0]["doy"]), held).alias("climate")
     )
+    whole_year = F.get("climate", F.lit(LAST_DAY))
+    mean = F.try_divide(whole_year["s_avg_temperature"].cast("double"), whole_year["n_avg_temperature"])
+    return out.withColumn("mean_temp", mean)
 
 
-def _near_weather(reach: int, wrap: bool) -> dict[str, Column]:
-    """Weather columns from the ``climate`` map around the row's day of the year."""
-    doy = F.dayofyear("date")
+def _near_weather(date: Column, reach: int, wrap: bool) -> dict[str, Column]:
+    """Weather around the day of the year of ``date`` from two entries of ``climate``.
 
-    def sums_of(d: Column) -> Column:
-        return F.try_element_at("climate", F.pmod(d - 1, F.lit(366)) + 1 if wrap else d)
+    A window that wraps over the year's end takes the entries of its second part as well.
+    """
+    if wrap and 2 * reach >= LAST_DAY:
+        raise ValueError(f"a window of {reach} days on either side meets itself")
+    doy = F.dayofyear(date)
 
-    days = F.sequence(doy - reach, doy + reach)
-    near = F.filter(F.transform(days, sums_of), lambda x: x.isNotNull())
-    otherwise = dict.fromkeys(WEATHER, F.lit(0.0)) | {"avg_temperature": F.col("mean_temp")}
+    def part(first: Column, last: Column):
+        upto, before = F.get("climate", last), F.get("climate", first - 1)
+        return lambda name: upto[name] - before[name]
 
-    def pooled(c: str) -> Column:
-        added = F.aggregate(near, F.lit(0.0), lambda t, x: t + F.coalesce(x[f"s_{c}"], F.lit(0.0)))
-        counted = F.aggregate(near, F.lit(0).cast("bigint"), lambda t, x: t + x[f"n_{c}"])
-        return F.when(F.size(near) > 0, F.try_divide(added, counted)).otherwise(otherwise[c])
+    year = F.lit(LAST_DAY)
+    inside = part(F.greatest(doy - reach, F.lit(1)), F.least(doy + reach, year))
+    early = part(LAST_DAY + doy - reach, year)
+    late = part(F.lit(1), doy + reach - LAST_DAY)
 
-    return {c: pooled(c) for c in WEATHER}
+    def pooled(name: str) -> Column:
+        if not wrap:
+            return inside(name)
+        return F.when(doy <= reach, inside(name) + early(name)).when(doy + reach > year, inside(name) + late(name)).otherwise(inside(name))
+
+    otherwise = dict.fromkeys(WEATHER, F.lit(0.0)) | {"avg_temperature": F.col("mean_temp")}
+    means = {c: F.try_divide(pooled(f"s_{c}").cast("double"), pooled(f"n_{c}")) for c in WEATHER}
+    return {c: F.when(pooled("n_rows") > 0, means[c]).otherwise(otherwise[c]) for c in WEATHER}
 
 
 def climatology(
@@ -115,13 +138,13 @@ def climatology(
 ) -> DataFrame:
     """Mean weather of the history's days within ``reach`` days of the year, per future row.
 
-    Each future row looks its neighbouring days up in the map of its series, so there is one
-    join on the series and no comparison of rows with rows.  Without a neighbour the
+    Each future row takes the difference of two entries of its series' running sums, so there is
+    one join on the series and no comparison of rows with rows.  Without a neighbour the
     temperature is the history's mean and the rest is 0.  Windows stop at the year's ends
     unless ``wrap`` is set.
     """
     rows = future.join(climate_by_day(history, keys), list(keys), "left")
-    return rows.withColumns(_near_weather(reach, wrap)).drop("climate", "mean_temp")
+    return rows.withColumns(_near_weather(F.col("date"), reach, wrap)).drop("climate", "mean_temp")
 
 
 def _planned(
@@ -213,10 +236,11 @@ def future_frame(
     """All feature columns for steps ``1..horizon`` of every series.
 
     Three aggregations reduce the history to one row per series each: its last state with the
-    quantiles, its recent values, and its climate.  They are joined on the series before the
-    steps are spread out, and everything after that is a projection.
+    quantiles, its recent values, and its climate.  They are joined on the series, the values
+    of all steps are looked up there, and only these are spread out: neither the recent values nor
+    the climate is carried by the exploded rows or into the joins with the plans.
     """
-    keys, step = list(keys), F.col("step")
+    keys = list(keys)
     rolling = [f"rolling_mean_{n}" for n in config.rolling_windows]
     frozen = [*rolling, "days_since_promo", "num_skus", "ets_level", "final_sku_price"]
     kept = [c for c in frozen if c in history.columns]
@@ -233,19 +257,23 @@ def future_frame(
     rows = rows.join(recent_values(history, depth, cols, keys), keys, "left")
     if has_weather:
         rows = rows.join(climate_by_day(history, keys), keys, "left")
-    rows = rows.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    rows = rows.withColumns(
-        {
-            "date": F.date_add("last_date", step),
-            **lag_columns(config.lags, config.promo_lag, cols),
-            **{c: F.col(f"last_{c}") for c in kept},
-        }
-    )
+
+    def day(step: Column) -> Column:
+        date = F.date_add("last_date", step)
+        found = lag_columns(step, config.lags, config.promo_lag, cols)
+        if has_weather:
+            found |= _near_weather(date, 7, wrap)
+        return F.struct(step.alias("step"), date.alias("date"), *(c.alias(n) for n, c in found.items()))
+
+    days = F.transform(F.sequence(F.lit(1), F.lit(horizon)), day)
+    rows = rows.withColumn("_days", days).drop("recent", "climate", "mean_temp")
+    rows = rows.select(*(c for c in rows.columns if c != "_days"), F.inline("_days"))
+    rows = rows.withColumns({c: F.col(f"last_{c}") for c in kept})
     if "days_since_promo" in kept:
-        rows = rows.withColumn("days_since_promo", F.col("days_since_promo") + step)
+        rows = rows.withColumn("days_since_promo", F.col("days_since_promo") + F.col("step"))
     if "num_skus" not in kept:
         rows = rows.withColumn("num_skus", F.lit(ASSUMED_NUM_SKUS))
-    rows = rows.drop("n_rows", "last_date", "recent", *(f"last_{c}" for c in kept))
+    rows = rows.drop("n_rows", "last_date", *(f"last_{c}" for c in kept))
 
     rows = future_promo_plan(rows, promo_plan, keys)
     rows = rows.withColumns(
@@ -259,6 +287,5 @@ def future_frame(
     )
     rows = add_holiday_phases(rows, config.holiday_pre, config.holiday_post)
     if has_weather:
-        rows = rows.withColumns(_near_weather(7, wrap)).drop("climate", "mean_temp")
         rows = _derived_weather(_forecast_weather(rows, weather, keys), keys, config)
     return rows
