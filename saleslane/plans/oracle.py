@@ -737,6 +737,8 @@ def oracle_sql() -> dict[str, str]:
     return plain | {
         "csv_round_trip": plain["load_sku_day"],
         "panel_sink": plain["load_sku_day"],
+        "panel_republish": _with("sku_day", f"""SELECT {SKU_DAY} FROM (SELECT * REPLACE (
+            CASE WHEN date >= DATE '1997-01-01' THEN 2 * sales ELSE sales END AS sales) FROM sku_day)"""),
         "ets_state_reload": plain["ets_forecast"],
         "exog_round_trip": plain["load_exog"],
         "duplicate_keys": """SELECT l_returnflag AS category, CAST(l_shipdate AS DATE) AS date, count(*) AS n_rows

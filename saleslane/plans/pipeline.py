@@ -31,6 +31,7 @@ from saleslane.operators.tuning import SPACE, best_params, tune
 from saleslane.plans.durable import checkpoint_dir
 from saleslane.plans.store import StageStore, content_key, hash_of
 from saleslane.sources.panels import load_params, save_params, write_panel
+from saleslane.sources.published import PublishedPanel
 
 
 @dataclass(frozen=True)
@@ -169,3 +170,13 @@ def save_run(run: Run, path: str, fmt: str = "parquet") -> None:
         write_panel(df, f"{path}/{name}", fmt)
     write_panel(run.state, f"{path}/ets_state", "parquet")
     run.model.save(f"{path}/residual_model")
+
+
+def publish_run(run: Run, path: str, by: tuple[str, ...] = ("date",)) -> None:
+    """Publish the panel, features and forecast of a run under ``path``.
+
+    A later run replaces only the partitions that it has rows for; a table changes as a whole, and a
+    failed run leaves what was there.
+    """
+    for name, df in {"category_day": run.panel, "features": run.features, "forecast": run.forecast}.items():
+        PublishedPanel(df.sparkSession, f"{path}/{name}", by).publish(df)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,7 @@ from saleslane.operators import (
 )
 from saleslane.plans.durable import checkpoint_dir, durable
 from saleslane.plans.pipeline import Run, prepare_panel, run_pipeline
-from saleslane.sources import bridge, panels
+from saleslane.sources import bridge, panels, published
 
 FIXED = EtsConfig(alpha=0.2, beta=0.05, gamma=0.1)
 SMALL_GRID = EtsConfig(
@@ -185,6 +186,21 @@ def panel_sink(spark, sf):
     return panels.read_sku_day(spark, path)
 
 
+def panel_republish(spark, sf):
+    """All months published, those from 1997 on again at doubled sales, then a write that fails."""
+    path = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex}"
+    target = published.PublishedPanel(spark, path, ("category", "month"))
+    rows = sku_day(spark, sf).withColumn("month", F.date_format("date", "yyyy-MM"))
+    target.publish(rows)
+    target.publish(rows.filter("date >= '1997-01-01'").withColumn("sales", F.col("sales") * 2))
+    try:
+        target.publish(rows.withColumn("sales", F.when(F.col("category").isNotNull(), F.raise_error(F.lit("damaged")).cast("double"))))
+    except PySparkException as error:
+        if "damaged" not in str(error):
+            raise
+    return target.read().drop("month")
+
+
 def params_round_trip(spark, sf):
     path = f"{checkpoint_dir(spark)}/params-{uuid.uuid4().hex}"
     absent = panels.load_params(spark, path) is None
@@ -576,6 +592,7 @@ _REGISTERED: dict[str, Query] = {
     "load_sku_day": load_sku_day,
     "csv_round_trip": csv_round_trip,
     "panel_sink": panel_sink,
+    "panel_republish": panel_republish,
     "params_round_trip": params_round_trip,
     "series_encoding": series_encoding,
     "ets_state_reload": ets_state_reload,

@@ -17,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslane.sources.published import file_system
+
 MANIFEST = "stage string, key string, path string"
 
 
@@ -69,10 +71,6 @@ class StageStore:
 
     def remove(self) -> None:
         """Delete all stages and the manifest."""
-        path = self.path
-        if "://" in path and not path.startswith("file:"):
-            system, path = fs.FileSystem.from_uri(path)
-        else:
-            system, path = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+        system, path = file_system(self.path)
         if system.get_file_info(path).type == fs.FileType.Directory:
             system.delete_dir(path)
