@@ -1,6 +1,9 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+from saleslane.plans.pipeline import publish_run
 from saleslane.sources.published import PublishedPanel
 
 SCHEMA = "date date, category string, sales double"
@@ -90,3 +93,13 @@ def test_a_writer_with_the_same_number_loses_nothing(spark, panel):
 def test_filters_on_partitions_reach_the_scan(spark, panel):
     plan = panel.read().filter("category = 'B'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(category" in plan
+
+
+def test_a_later_run_replaces_only_its_days(spark, tmp_path):
+    rows = frame(spark, ("2020-01-01", "B", 1.0), ("2020-01-02", "B", 2.0))
+    later = rows.filter("sales > 1").withColumn("sales", F.lit(9.0))
+    for df in (rows, later):
+        publish_run(SimpleNamespace(panel=df, features=df, forecast=df), str(tmp_path / "out"))
+    for name in ("category_day", "features", "forecast"):
+        got = PublishedPanel(spark, str(tmp_path / "out" / name), ("date",))
+        assert shown(got) == [("2020-01-01", "B", 1.0), ("2020-01-02", "B", 9.0)]
