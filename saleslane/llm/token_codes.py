@@ -27,6 +27,8 @@ An empty table writes an empty table and reads back no rows.
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
 import zlib
 from array import array
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,8 +53,16 @@ _MARKS = ".,!?;:*$%&#|"
 #: Fixed values of byte-level vocabularies: printable bytes stand for themselves, the others are
 #: numbered on from 256.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_TEXTS_AT_ONCE = 256
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: Of these bytes, those of plain words and the space before them.
+_IN_PLAIN = [b for b in _BYTE_CHARS if b == 32 or b >= 128]
+#: Characters of texts whose words are looked up together; longer texts are taken apart.
+CHARS_AT_ONCE = 1 << 23
+#: Distinct words that one call of the model gets.
+_WORDS_AT_ONCE = 1 << 15
+#: A word with the space or line feed before it, if any: letters of one piece, and a run of marks as another.
+_PLAIN = f"^[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+[{re.escape(_MARKS)}]*$"
+_MARK_RUN = re.compile(f"[{re.escape(_MARKS)}]+")
 
 
 class Codes:
@@ -106,6 +117,32 @@ class Codes:
         return found
 
 
+class _Plain:
+    """Packed ids of many plain words at once, from the model without the splitting pattern."""
+
+    def __init__(self, library, kind: np.dtype):
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self.kind = kind
+        vocabulary = library.get_vocab()
+        # An id stands for as many bytes as its entry has characters.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.pieces = type(library)(library.model)
+        self.pieces.pre_tokenizer = CharDelimiterSplit("\t")
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        # Tabs end the pieces; a line feed before a word is a piece of its own.
+        joined = _MARK_RUN.sub("\t\\g<0>", "\t".join(words.to_pylist()))
+        coded = joined.encode().decode("latin-1").replace("\n", _BYTE_CHARS[10] + "\t")
+        for byte in _IN_PLAIN:
+            coded = coded.replace(chr(byte), _BYTE_CHARS[byte])
+        ids = np.array(self.pieces.encode_batch_fast([coded], add_special_tokens=False)[0].ids, dtype=self.kind)
+        ends = np.cumsum(pc.binary_length(words).to_numpy())
+        return ids, np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1, prepend=0)
+
+
 class _Words(dict):
     """Packed ids by word as it stands after a space; ``\\n`` and a word stand for a new line's first word.
 
@@ -157,6 +194,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has one core.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
         told = json.loads(self.library.to_str())
         split = told.get("pre_tokenizer") or {}
@@ -167,26 +206,95 @@ class Encoder:
             and not split.get("add_prefix_space", True)
             and split.get("use_regex", False)
             and all(t["content"].startswith("<|") for t in told.get("added_tokens", []))
+            and all(_BYTE_CHARS.get(b, chr(b)) in told["model"]["vocab"] for b in range(256))
         )
         self.words = _Words(self.library, self.kind, b"")
-        self.words.feed = self.words.packed("\n") if self.by_word else b""
+        if self.by_word:
+            self.words.feed, self.plain = self.words.packed("\n"), _Plain(self.library, self.kind)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, as ``encode(text, add_special_tokens=False)`` gives them."""
         if not self.by_word:
             found = self.library.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(x.ids, dtype=self.kind).tobytes() for x in found]
-        words, out = self.words, []
-        known = words.__getitem__
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif "<|" in text or " ".join(text.split()) != text.replace("\n", " "):
-                out.append(words.packed(text))
-            else:
-                parts = text.replace("\n", " \n").split(" ")
-                out.append(words.learn(parts[0]) + b"".join(map(known, parts[1:])))
-        return out
+        out, held, size = [], [], 0
+        for i, text in enumerate(texts):
+            parts = list(_cut(text))
+            if "<|" in text or not all(_even(p, at > 0) for at, p in enumerate(parts)):
+                held.append((i, None))
+                continue
+            for at, part in enumerate(parts):
+                held.append((i, part))
+                size += len(part)
+                if size >= CHARS_AT_ONCE:
+                    out += self._parts(held, texts)
+                    held, size = [], 0
+        out += self._parts(held, texts)
+        found = [[] for _ in texts]
+        for i, ids in out:
+            found[i].append(ids)
+        return [b"".join(x) for x in found]
+
+    def _parts(self, held: list[tuple[int, str | None]], texts: list[str]) -> list[tuple[int, bytes]]:
+        """Ids of parts of texts, or of the whole text for None."""
+        whole = [(i, self.words.packed(texts[i])) for i, part in held if part is None]
+        held = [x for x in held if x[1]]
+        if not held:
+            return whole
+        # A tab before each space and line feed, except where a part begins with it.
+        marked = [part[0] + part[1:].replace(" ", "\t ").replace("\n", "\t\n") for _, part in held]
+        split = pc.split_pattern(pa.array(marked, pa.large_string()), "\t")
+        coded = split.flatten().dictionary_encode()
+        ids, sizes = self._ids(coded.dictionary)
+        # Each word's ids, gathered in the order of the texts.
+        begins, places = (np.cumsum(sizes) - sizes).astype(np.int32), coded.indices.to_numpy()
+        n = sizes[places]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        source = np.repeat(begins[places] - ends[:-1].astype(np.int32), n)
+        source += np.arange(len(source), dtype=np.int32)
+        gathered = ids[source].tobytes()
+        cuts = (ends[split.offsets.to_numpy()] * self.kind.itemsize).tolist()
+        return whole + [(i, gathered[a:b]) for (i, _), a, b in zip(held, cuts[:-1], cuts[1:], strict=True)]
+
+    def _ids(self, used: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these words one after the other, and how many each has."""
+        ids, sizes = [], []
+        for first in range(0, len(used), _WORDS_AT_ONCE):
+            part = used.slice(first, _WORDS_AT_ONCE)
+            is_plain = pc.match_substring_regex(part, _PLAIN)
+            plain, n = is_plain.to_numpy(zero_copy_only=False), np.zeros(len(part), dtype=np.int64)
+            others = [
+                self.words[w[1:]] if w[0] == " " else self.words[w] if w[0] == "\n" else self.words.learn(w)
+                for w in part.filter(pc.invert(is_plain)).to_pylist()
+            ]
+            n[~plain] = [len(x) // self.kind.itemsize for x in others]
+            some = np.empty(0, self.kind)
+            if plain.any():
+                some, n[plain] = self.plain.encode(part.filter(is_plain))
+            placed, mine = np.empty(n.sum(), self.kind), np.repeat(plain, n)
+            placed[mine] = some
+            placed[~mine] = np.frombuffer(b"".join(others), dtype=self.kind)
+            ids.append(placed)
+            sizes.append(n)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+
+def _cut(text: str) -> Iterator[str]:
+    """A text in parts that begin at a space or a line feed."""
+    at = 0
+    while len(text) - at > CHARS_AT_ONCE:
+        end = max(text.rfind(" ", at + 1, at + CHARS_AT_ONCE), text.rfind("\n", at + 1, at + CHARS_AT_ONCE))
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def _even(part: str, inside: bool) -> bool:
+    """Whether a text, or one's part that begins between words, has one space or line feed between words."""
+    words = " ".join(part.split())
+    return (" " + words if inside else words) == part.replace("\n", " ")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -202,6 +310,17 @@ def encoder(path: str) -> Encoder:
 _LEVEL = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch: rows up to CHARS_AT_ONCE bytes of text, or one row."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + CHARS_AT_ONCE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _writer(tokenizer: str, end_id: int, segment_ids: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part = encoder(tokenizer), TaskContext.get().partitionId()
@@ -227,8 +346,7 @@ def _writer(tokenizer: str, end_id: int, segment_ids: int):
 
         for batch in batches:
             kind = batch.column("doc_id").type
-            for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
-                rows = batch.slice(at, _TEXTS_AT_ONCE)
+            for rows in _groups(batch):
                 for doc, ids in zip(rows.column("doc_id").to_pylist(), tool.encode(rows.column("text").to_pylist()), strict=True):
                     docs.append(doc)
                     packed.append(ids + end)

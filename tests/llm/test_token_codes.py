@@ -31,6 +31,22 @@ def test_encoder_equals_the_library(monkeypatch):
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == library(texts)
 
 
+def test_plain_words_go_to_the_model_together_and_long_texts_in_parts(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéüß") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ",", ".", "?!", "..."]) for _ in range(3000)]
+    texts = ["".join(w + rng.choice("   \n") for w in words[at : at + 150]).strip() for at in range(0, 3000, 150)]
+    texts += ["\n".join(words), " ".join(words) + " 12 don't ×é ÷", "  ".join(words[:300]), "x" * 900, "a " + "y" * 900 + " b", *(t or "" for t in TEXTS)]
+    tool, calls = op.Encoder(PATH), []
+    learn = op._Words.learn
+    monkeypatch.setattr(op._Words, "learn", lambda self, text: calls.append(text) or learn(self, text))
+    want = library(texts)
+    assert [np.frombuffer(g, "<u2").tolist() for g in tool.encode(texts[:22])] == want[:22]
+    assert len(calls) < 10
+    for size in (1, 40, 700):
+        monkeypatch.setattr(op, "CHARS_AT_ONCE", size)
+        assert [np.frombuffer(g, "<u2").tolist() for g in tool.encode(texts)] == want
+
+
 def test_other_tokenizers_go_to_the_library_whole():
     path = public.path("word_bpe_49k.json")
     tool = op.Encoder(path)
