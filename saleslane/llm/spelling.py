@@ -47,6 +47,8 @@ NOISE = 97
 COUNTED = 200_000
 #: Words of one initial state that are composed in one task.
 STATE_WORDS = 20_000
+#: Rows that a task passes on at once, however many pairs a state has.
+BATCH_ROWS = 8192
 _FINAL = 0
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -210,44 +212,48 @@ def _enumerated(state_words: int):
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    def pairs(state: tuple, held: dict[str, int]) -> list[tuple]:
+    def pairs(state: tuple, held: dict[str, int]) -> Iterator[tuple]:
+        if len(held) < 2:
+            return
         m, head, tail = state[:3]
         short = sorted(w for w in held if len(w) == m)
         long = sorted(w for w in held if len(w) > m)
-        if not short or len(held) < 2:
-            return []
+        if not short:
+            return
         cut = slice(head, -tail or None)
         first, last = short[0][:head], short[0][m - tail :]
         found = near_parts([w[cut] for w in short], [w[cut] for w in long])
         half = (m + 1) // 2
-        out = []
         for u, v in found:
             a, b = first + u + last, first + v + last
             # A pair that agrees in the first half belongs to the state of that half, and so on down.
             if _home(m, a, b, half, head, tail):
-                out.append((a, held[a], b, held[b], None, None, None))
-        return out
+                yield a, held[a], b, held[b], None, None, None
 
-    def enumerated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, held, large, out = None, {}, False, []
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        state, held, large = None, {}, False
         columns = ("m", "head", "tail", "first", "last", "word", "n")
         for batch in batches:
             for *now, word, n in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if now != state:
-                    if len(held) > 1:
-                        out += pairs(state, held)
+                    yield from pairs(state, held)
                     state, held, large = now, {}, False
                 held[word] = n
                 if len(held) > state_words and now[0] - now[1] - now[2] > 1:
                     large = True
                 if large:
-                    out += [(w, k, None, None, *now[:3]) for w, k in held.items()]
+                    for w, k in held.items():
+                        yield w, k, None, None, *now[:3]
                     held = {}
-                if len(out) >= 8192:
-                    yield batch_of(out)
-                    out = []
-        if len(held) > 1:
-            out += pairs(state, held)
+        yield from pairs(state, held)
+
+    def enumerated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for row in rows_of(batches):
+            out.append(row)
+            if len(out) == BATCH_ROWS:
+                yield batch_of(out)
+                out = []
         if out:
             yield batch_of(out)
 

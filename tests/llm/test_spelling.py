@@ -1,7 +1,9 @@
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from saleslane.llm import queries
@@ -74,6 +76,15 @@ def test_groups_equal_brute_force(spark, state_words):
     assert len(want) > 100 and any(r[1] for r in want)
 
 
+def test_pairs_of_a_dense_state_leave_in_batches():
+    rows = [("word" + "".join(x), i) for i, x in enumerate(itertools.product("abcdefghijkl", repeat=3))]
+    columns = {"m": [7], "head": [4], "tail": [0], "first": ["word"], "last": [""]}
+    state = pa.table({k: v * len(rows) for k, v in columns.items()} | {"word": [w for w, _ in rows], "n": [n for _, n in rows]})
+    made = list(op._enumerated(op.STATE_WORDS)(iter(state.to_batches())))
+    assert sum(b.num_rows for b in made) == 12**3 * 11 * 3 // 2
+    assert max(b.num_rows for b in made) <= 8192
+
+
 def test_pairs_come_once_and_chains_lead_to_their_end(spark):
     rows = [(f"w{'x' * 6}{c}", n) for c, n in zip("abcd", (3, 6, 12, 24))] + [("aaaaaa", 9), ("aaaaa", 3), ("aaaaaaa", 18)]
     pairs = op.near_pairs(spark.createDataFrame(rows, "word string, n long"), state_words=3).collect()
