@@ -33,6 +33,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +57,12 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 #: Of these bytes, those of plain words and the space before them.
 _IN_PLAIN = [b for b in _BYTE_CHARS if b == 32 or b >= 128]
-#: Characters of texts whose words are looked up together; longer texts are taken apart.
+#: Characters of texts whose words are looked up together.
 CHARS_AT_ONCE = 1 << 23
+#: Characters that are split into words at once; longer texts are taken apart.
+CHARS_SPLIT = 1 << 20
+#: Bytes of an Arrow batch of texts.
+BATCH_BYTES = 1 << 22
 #: Distinct words that one call of the model gets.
 _WORDS_AT_ONCE = 1 << 15
 #: A word with the space or line feed before it, if any: letters of one piece, and a run of marks as another.
@@ -241,20 +246,27 @@ class Encoder:
         held = [x for x in held if x[1]]
         if not held:
             return whole
-        # A tab before each space and line feed, except where a part begins with it.
-        marked = [part[0] + part[1:].replace(" ", "\t ").replace("\n", "\t\n") for _, part in held]
-        split = pc.split_pattern(pa.array(marked, pa.large_string()), "\t")
-        coded = split.flatten().dictionary_encode()
-        ids, sizes = self._ids(coded.dictionary)
+        coded, offsets = [], []
+        for run in _runs([part for _, part in held]):
+            # A tab before each space and line feed, except where a part begins with it.
+            marked = [part[0] + part[1:].replace(" ", "\t ").replace("\n", "\t\n") for part in run]
+            split = pc.split_pattern(pa.array(marked, pa.large_string()), "\t")
+            coded.append(split.flatten().dictionary_encode())
+            offsets.append(split.offsets.to_numpy())
+        coded = pa.chunked_array(coded).unify_dictionaries().chunks
+        ids, sizes = self._ids(coded[0].dictionary)
         # Each word's ids, gathered in the order of the texts.
-        begins, places = (np.cumsum(sizes) - sizes).astype(np.int32), coded.indices.to_numpy()
-        n = sizes[places]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        source = np.repeat(begins[places] - ends[:-1].astype(np.int32), n)
-        source += np.arange(len(source), dtype=np.int32)
-        gathered = ids[source].tobytes()
-        cuts = (ends[split.offsets.to_numpy()] * self.kind.itemsize).tolist()
-        return whole + [(i, gathered[a:b]) for (i, _), a, b in zip(held, cuts[:-1], cuts[1:], strict=True)]
+        begins, out = (np.cumsum(sizes) - sizes).astype(np.int32), []
+        for words, bounds in zip(coded, offsets, strict=True):
+            places = words.indices.to_numpy()
+            n = sizes[places]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            source = np.repeat(begins[places] - ends[:-1].astype(np.int32), n)
+            source += np.arange(len(source), dtype=np.int32)
+            gathered = ids[source].tobytes()
+            cuts = (ends[bounds] * self.kind.itemsize).tolist()
+            out += [gathered[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return whole + [(i, packed) for (i, _), packed in zip(held, out, strict=True)]
 
     def _ids(self, used: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these words one after the other, and how many each has."""
@@ -279,11 +291,27 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(sizes)
 
 
+def _runs(parts: list[str]) -> Iterator[list[str]]:
+    """Consecutive parts up to CHARS_SPLIT characters, or one part."""
+    run, size = [], 0
+    for part in parts:
+        if run and size + len(part) > CHARS_SPLIT:
+            yield run
+            run, size = [], 0
+        run.append(part)
+        size += len(part)
+    if run:
+        yield run
+
+
 def _cut(text: str) -> Iterator[str]:
     """A text in parts that begin at a space or a line feed."""
-    at = 0
-    while len(text) - at > CHARS_AT_ONCE:
-        end = max(text.rfind(" ", at + 1, at + CHARS_AT_ONCE), text.rfind("\n", at + 1, at + CHARS_AT_ONCE))
+    at, limit = 0, min(CHARS_SPLIT, CHARS_AT_ONCE)
+    while len(text) - at > limit:
+        end = max(text.rfind(" ", at + 1, at + limit), text.rfind("\n", at + 1, at + limit))
+        if end < 0:
+            # A longer word: to its end.
+            end = min((x for x in (text.find(" ", at + limit), text.find("\n", at + limit)) if x >= 0), default=-1)
         if end < 0:
             break
         yield text[at:end]
@@ -294,7 +322,9 @@ def _cut(text: str) -> Iterator[str]:
 def _even(part: str, inside: bool) -> bool:
     """Whether a text, or one's part that begins between words, has one space or line feed between words."""
     words = " ".join(part.split())
-    return (" " + words if inside else words) == part.replace("\n", " ")
+    if inside:
+        return words != "" and " " + words == part.replace("\n", " ")
+    return words == part.replace("\n", " ")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -310,15 +340,25 @@ def encoder(path: str) -> Encoder:
 _LEVEL = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch: rows up to CHARS_AT_ONCE bytes of text, or one row."""
-    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, before + CHARS_AT_ONCE, side="right")))
-        yield batch.slice(at, end - at)
-        at = end
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Consecutive rows up to CHARS_AT_ONCE bytes of text, or one row."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = int(np.searchsorted(ends, before + CHARS_AT_ONCE - size, side="right"))
+            if end <= at and held:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+                continue
+            end = max(at + 1, end)
+            held.append(batch.slice(at, end - at))
+            size += int(ends[end - 1]) - before
+            at = end
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _writer(tokenizer: str, end_id: int, segment_ids: int):
@@ -344,22 +384,38 @@ def _writer(tokenizer: str, end_id: int, segment_ids: int):
                 names=["part", "seq", "offset", "doc_ids", "sizes", "n_ids", "levels"],
             )
 
-        for batch in batches:
-            kind = batch.column("doc_id").type
-            for rows in _groups(batch):
-                for doc, ids in zip(rows.column("doc_id").to_pylist(), tool.encode(rows.column("text").to_pylist()), strict=True):
-                    docs.append(doc)
-                    packed.append(ids + end)
-                    held += len(packed[-1]) // tool.kind.itemsize
-                    if held >= segment_ids:
-                        yield segment()
-                        seq, offset, held, docs, packed = seq + 1, offset + held, 0, [], []
+        for rows in _groups(batches):
+            kind = rows.column("doc_id").type
+            for doc, ids in zip(rows.column("doc_id").to_pylist(), tool.encode(rows.column("text").to_pylist()), strict=True):
+                docs.append(doc)
+                packed.append(ids + end)
+                held += len(packed[-1]) // tool.kind.itemsize
+                if held >= segment_ids:
+                    yield segment()
+                    seq, offset, held, docs, packed = seq + 1, offset + held, 0, [], []
         if docs:
             yield segment()
+        # The worker lives on for other stages.
+        rows = None
+        pa.default_memory_pool().release_unused()
 
     return segments
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_BYTES for what runs meanwhile, unless the session has a size of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
 def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode every whole text and write its ids, in ascending doc_id order, to ``path``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -367,13 +423,14 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, seg
         f"part int, seq int, offset long, doc_ids array<{kind}>, sizes array<long>, n_ids long, "
         "levels array<struct<chunks: binary, more: binary, ranks: binary>>"
     )
-    (
+    segments = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
         .mapInArrow(_writer(tokenizer, end_id, segment_ids), schema)
-        .write.parquet(path)
     )
+    with _small_batches(docs.sparkSession):
+        segments.write.parquet(path)
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

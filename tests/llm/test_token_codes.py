@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saleslane.llm import token_codes as op
@@ -47,6 +49,48 @@ def test_plain_words_go_to_the_model_together_and_long_texts_in_parts(monkeypatc
         assert [np.frombuffer(g, "<u2").tolist() for g in tool.encode(texts)] == want
 
 
+def test_memory_of_texts_that_are_looked_up_together():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(2000)]
+    tool, many = op.Encoder(PATH), [" ".join(rng.choices(words, k=600)) for _ in range(1300)]
+    for texts in (many, [" ".join(many)]):
+        tracemalloc.start()
+        try:
+            got, peak = tool.encode(texts), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert peak < 48 << 20
+        assert [len(x) // 2 for x in got] == [len(x) for x in library(texts)]
+
+
+def test_groups_join_batches_and_cut_them(monkeypatch):
+    monkeypatch.setattr(op, "CHARS_AT_ONCE", 10)
+    sizes = [[4, 4], [], [1, 2, 25, 0, 10], [11], [3], [3, 3, 3]]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(["x" * n for n in b], pa.string())}) for b in sizes]
+    got = [[len(t) for t in g.column("text").to_pylist()] for g in op._groups(iter(batches))]
+    assert got == [[4, 4, 1], [2], [25], [0, 10], [11], [3, 3, 3], [3]]
+
+
+def test_texts_reach_the_tasks_in_small_batches(spark, tmp_path, monkeypatch):
+    def sizes(batches):
+        for i, b in enumerate(batches):
+            row = {"part": 0, "seq": i, "offset": b.nbytes, "doc_ids": [], "sizes": [], "n_ids": b.num_rows, "levels": []}
+            yield pa.RecordBatch.from_pylist([row], schema)
+
+    level = pa.list_(pa.struct([(c, pa.binary()) for c in ("chunks", "more", "ranks")]))
+    longs = pa.list_(pa.int64())
+    schema = pa.schema(
+        [("part", pa.int32()), ("seq", pa.int32()), ("offset", pa.int64()), ("doc_ids", longs), ("sizes", longs), ("n_ids", pa.int64()), ("levels", level)]
+    )
+    monkeypatch.setattr(op, "_writer", lambda *_: sizes)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    op.write_codes(spark.range(6000).selectExpr("id as doc_id", "repeat('x', 5000) as text").coalesce(1), str(tmp_path / "codes"), PATH)
+    got = [(r.n_ids, r.offset) for r in spark.read.parquet(str(tmp_path / "codes")).collect()]
+    assert sum(n for n, _ in got) == 6000 and max(size for _, size in got) < 5 << 20
+    assert spark.conf.get(name) == before
+
+
 def test_other_tokenizers_go_to_the_library_whole():
     path = public.path("word_bpe_49k.json")
     tool = op.Encoder(path)
